@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, lines, quality, sharding
+from logweave.llm import chat, lines, packing, quality, sharding, simhash, tokens
 
 
 def queries() -> dict:
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op2_quality_rules": quality.op2_quality_rules,
         "op4_sharding": sharding.op4_sharding,
         "op5_line_dedup": lines.op5_line_dedup,
         "op6_chat_format": chat.op6_chat_format,
+        "op9_token_counts": tokens.op9_token_counts,
+        "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 
