@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, lines, packing, quality, sharding, simhash, tokens
+from logweave.llm import chat, decontaminate, lines, packing, quality, sharding, simhash, tokens
 
 
 def queries() -> dict:
@@ -12,10 +12,11 @@ def queries() -> dict:
         "op4_sharding": sharding.op4_sharding,
         "op5_line_dedup": lines.op5_line_dedup,
         "op6_chat_format": chat.op6_chat_format,
+        "op7_decontamination": decontaminate.op7_decontamination,
         "op9_token_counts": tokens.op9_token_counts,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_quality_rules": quality.SQL, "op5_line_dedup": lines.SQL, "op6_chat_format": chat.SQL}
+    return {"op2_quality_rules": quality.SQL, "op5_line_dedup": lines.SQL, "op6_chat_format": chat.SQL, "op7_decontamination": decontaminate.SQL}

@@ -114,6 +114,16 @@ def clean_lines(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text")
     )
 
 
+def kept_documents(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text") -> DataFrame:
+    """clean_lines' rows that are kept.
+
+    The filter stands on a row number, which the optimizer doesn't move it past: pushed below the projections, it
+    would compute every nested column once more for each use.
+    """
+    judged = clean_lines(docs, max_lost, text_col).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).drop("_row")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = clean_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "all_chars")

@@ -8,7 +8,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweave.llm import words
@@ -242,3 +242,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, parts: i
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = near_duplicates(read(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs whose id is the smallest of their group, all columns carried; how: as for near_duplicates.
+
+    A document is an id: rows of the id that stays, with other texts, stay too, but a row repeated with its text stays
+    once. Null ids are one document that sorts last.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    stay = found.where(id_or_last("id") == F.col("component")).select(id_or_last("id").alias("_stays")).distinct()
+    kept = docs.withColumn("_id", id_or_last(id_col)).join(stay, F.col("_id") == F.col("_stays"), "left_semi")
+    once = Window.partitionBy("_id", F.xxhash64(text_col)).orderBy("_id")
+    return kept.withColumn("_turn", F.row_number().over(once)).where("_turn = 1").drop("_id", "_turn")
