@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, decontaminate, lines, packing, quality, sharding, simhash, tokens
+from logweave.llm import chat, decontaminate, licenses, lines, packing, quality, sharding, simhash, tokens
 
 
 def queries() -> dict:
@@ -13,10 +13,11 @@ def queries() -> dict:
         "op5_line_dedup": lines.op5_line_dedup,
         "op6_chat_format": chat.op6_chat_format,
         "op7_decontamination": decontaminate.op7_decontamination,
+        "op8_license_scan": licenses.op8_license_scan,
         "op9_token_counts": tokens.op9_token_counts,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_quality_rules": quality.SQL, "op5_line_dedup": lines.SQL, "op6_chat_format": chat.SQL, "op7_decontamination": decontaminate.SQL}
+    return {"op2_quality_rules": quality.SQL, "op5_line_dedup": lines.SQL, "op6_chat_format": chat.SQL, "op7_decontamination": decontaminate.SQL, "op8_license_scan": licenses.SQL}
