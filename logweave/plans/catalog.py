@@ -2,10 +2,250 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logweave.functions import statements
+from logweave.functions.values import epoch_millis, json_bytes, token_time
+from logweave.operators import assemble, documents, envelopes, gates, ordered, parts, positions
+from logweave.plans.sql import ORACLES
+from logweave.sources import derived
+
+TWO = frozenset({"shop.items", "shop.lines"})
+DOCS = frozenset({"app.c0", "app.c1", "app.c2"})
+KEYS = ["source_id", "txn_start"]
+ORDER = ["pos", "inner_pos"]
+#: The fixed clock of queries on lags, in milliseconds.
+NOW_MS = 1_706_745_600_000
+
+
+def _done(spark: SparkSession, sf_dir: str):
+    log = assemble.marked(derived.order_log(spark, sf_dir))
+    ends = assemble.endings(log)
+    return log, ends, assemble.committed_rows(log, ends)
+
+
+def commit_envelopes(spark, sf_dir):
+    return assemble.commits(derived.order_log(spark, sf_dir), TWO).select("gno", "n_rows", "n_ddl", "ended_by")
+
+
+def commit_shapes(spark, sf_dir):
+    done = assemble.commits(derived.order_log(spark, sf_dir))
+    empty = F.count(F.when((F.col("n_rows") == 0) & (F.col("n_ddl") == 0), 1))
+    return done.groupBy("ended_by").agg(F.count("*").alias("n_commits"), empty.alias("n_empty"), F.sum("n_rows").alias("n_rows"), F.sum("n_ddl").alias("n_ddl"))
+
+
+def empty_commits(spark, sf_dir):
+    return assemble.commits(derived.order_log(spark, sf_dir), frozenset({"shop.items"})).where("n_rows = 0 and n_ddl = 0").select("gno", "ended_by")
+
+
+def include_filtered(spark, sf_dir):
+    _, _, rows = _done(spark, sf_dir)
+    from logweave.operators.include import allows
+
+    return rows.where(allows(F.col("subject"), TWO)).groupBy("subject", "op").agg(F.count("*").alias("n_rows"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+
+
+def include_asof(spark, sf_dir):
+    versions = spark.createDataFrame(
+        [(0, "only", ["shop.items"]), (64 * 300 + 5, "only", ["shop.items", "shop.lines"]), (64 * 700, "all", []), (64 * 1100, "only", [])], "valid_from long, mode string, subjects array<string>"
+    )
+    return assemble.commits(derived.order_log(spark, sf_dir), versions=versions).select("gno", "n_rows")
+
+
+def ddl_classify(spark, sf_dir):
+    texts = (
+        "BEGIN", "  begin ;", "/* note */ CREATE TABLE shop.t (a INT)", "-- line\nDROP TABLE shop.t", "# x\n/*!50003 ALTER TABLE t ADD c INT */", "/* never ends CREATE TABLE x", "COMMIT", "XA START 'x'",
+        "CREATE TABLE shop.c (a INT) start  transaction;", "Rollback;", "SAVEPOINT s1", "RENAME TABLE a TO b", "GRANT ALL ON *.* TO u", "--not a comment", "TRUNCATE shop.orders",
+    )
+    query = F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("o_orderkey") % len(texts) + 1).cast("int"))
+    q = derived.table(spark, sf_dir, "orders").select("o_orderkey", query.alias("query"))
+    c = F.col("query")
+    return q.select("o_orderkey", statements.statement_start(c).alias("start"), statements.is_ddl(c).alias("is_ddl"), statements.query_kind(c).alias("kind"), statements.opens_transaction(c).alias("opens"))
+
+
+def _row_events(mode):
+    def query(spark, sf_dir) -> DataFrame:
+        _, _, rows = _done(spark, sf_dir)
+        made = envelopes.row_events(rows, F.timestamp_millis(F.lit(NOW_MS)), mode)
+        return made.select("gno", "pos", F.col("event.type").alias("type"), F.col("event.subject").alias("subject"), F.col("event.extensions_json").alias("extensions_json"), F.col("event.data_json").alias("data_json"))
+
+    return query
+
+
+def row_event_json(spark, sf_dir):
+    _, _, rows = _done(spark, sf_dir)
+    made = envelopes.row_events(rows, F.timestamp_millis(F.lit(NOW_MS)), "signal")
+    return made.select("pos", envelopes.structured_json(F.col("event")).alias("structured"), envelopes.nested_json(F.col("event")).alias("nested"))
+
+
+def table_map_asof(spark, sf_dir):
+    log = derived.order_log(spark, sf_dir)
+    k = F.floor(F.col("pos") / derived.STEPS)
+    kept = (F.col("kind") != "table_map") | ((k % 20 == 0) & ((F.col("table_id") < 3) | (k >= 40)))
+    renamed = F.when((F.col("table_id") == 1) & (k >= 200), F.lit("items2")).otherwise(F.col("table"))
+    rows = assemble.with_table_maps(log.where(kept).withColumn("table", renamed))
+    return rows.groupBy("subject").agg(F.count("*").alias("n_rows"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+
+
+def payload_unpack(spark, sf_dir):
+    opened = assemble.unpack(derived.packed_log(derived.order_log(spark, sf_dir)))
+    return assemble.commits(opened).select("gno", "n_rows", "n_ddl", "ended_by")
+
+
+def log_violations(spark, sf_dir):
+    log = derived.order_log(spark, sf_dir)
+    k = F.floor(F.col("pos") / derived.STEPS)
+    broken = log.where(~((F.col("kind") == "gtid") & (k % 200 == 0)) & ~((F.col("kind") == "gtid") & (k % 200 == 31)))
+    return assemble.violations(broken, TWO).groupBy("error").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
+
+
+def gtid_islands(spark, sf_dir):
+    return positions.islands(assemble.commits(derived.order_log(spark, sf_dir)), ["uuid"]).select("uuid", "lo", "hi")
+
+
+def gtid_set_after(spark, sf_dir):
+    done = positions.running_sets(assemble.commits(derived.order_log(spark, sf_dir)), ["uuid"], "txn_start")
+    return done.select("gno", "n_intervals", "lo", "hi")
+
+
+def _spans(spark, sf_dir):
+    k = F.col("o_orderkey")
+    orders = derived.table(spark, sf_dir, "orders")
+    return orders.where(k % 50 == 3).select((k % 3).alias("uuid"), (k + 1).alias("lo"), (k + 1 + k % 170).alias("hi")).unionByName(orders.where(k % 50 == 19).select((k % 3).alias("uuid"), (k + 1).alias("lo"), (k + 1).alias("hi")))
+
+
+def gtid_union(spark, sf_dir):
+    return positions.union_rows(_spans(spark, sf_dir).withColumn("uuid", F.concat(F.lit("u"), F.col("uuid").cast("string"))), ["uuid"]).select("uuid", "lo", "hi")
+
+
+def gtid_handshake(spark, sf_dir):
+    held = gtid_islands(spark, sf_dir)
+    purged = spark.createDataFrame([(derived.UUID, 1, 25), (derived.UUID, 20, 38), ("other", 5, 5)], "uuid string, lo long, hi long")
+    return positions.set_text(positions.union_rows(held.unionByName(purged), ["uuid"])).select("uuid", "text")
+
+
+def parts_by_rows(spark, sf_dir):
+    _, _, rows = _done(spark, sf_dir)
+    cut = parts.by_rows(rows, [*KEYS, "gno"], ORDER, 3)
+    return parts.part_columns(cut.groupBy("gno", "part", "n_parts").agg(F.count("*").alias("n_rows"))).select("gno", "part", "n_rows", "part_number", "part_last")
+
+
+def parts_by_bytes(spark, sf_dir):
+    _, _, rows = _done(spark, sf_dir)
+    image = F.coalesce("after", "before")
+    sized = rows.withColumn("size", F.get(image, F.lit(0)).cast("long") % 40 + 1)
+    cut = parts.by_size(sized, [*KEYS, "gno"], ORDER, "size", 4, 60)
+    return cut.groupBy("gno", "part", "n_parts").agg(F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes"))
+
+
+def part_rules(spark, sf_dir):
+    """Of parts but the last, the set after is empty; schema statements go with the first."""
+    log, ends, rows = _done(spark, sf_dir)
+    cut = parts.by_rows(rows, [*KEYS, "gno"], ORDER, 2).groupBy(*KEYS, "part", "n_parts").agg(F.count("*").alias("n_rows"))
+    done = assemble.commits(derived.order_log(spark, sf_dir)).select(*KEYS, "gno", "n_ddl", "gtid")
+    both = parts.part_columns(done.join(cut, KEYS, "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1))).withColumn("part", F.coalesce("part", F.lit(1))))
+    last = F.coalesce("part_last", F.lit(True))
+    return both.select(
+        "gno", "part_number", "part_last", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(last, F.col("gtid")).otherwise("").alias("position"), F.when(F.col("part") == 1, F.col("n_ddl")).otherwise(0).alias("n_ddl")
+    )
+
+
+def row_fanout(spark, sf_dir):
+    log, ends, rows = _done(spark, sf_dir)
+    time = F.timestamp_millis(F.lit(NOW_MS))
+    made = envelopes.fan_out(envelopes.ddl_events(assemble.committed_ddl(log, ends), time), envelopes.row_events(rows, time, "signal"), KEYS)
+    return made.select((F.col("txn_start") / derived.STEPS).cast("long").alias("k"), "ordinal", F.col("event.type").alias("type"), F.col("event.subject").alias("subject"), F.col("event.data_json").alias("data_json"))
+
+
+def envelope_size(spark, sf_dir):
+    _, _, rows = _done(spark, sf_dir)
+    made = envelopes.row_events(rows, F.timestamp_millis(F.lit(NOW_MS)))
+    return made.withColumn("size", json_bytes(F.col("event.data_json"))).groupBy("gno").agg(F.sum("size").alias("n_bytes"), F.count("*").alias("n_events"))
+
+
+def full_envelopes(spark, sf_dir):
+    log, ends, rows = _done(spark, sf_dir)
+    time = F.timestamp_millis(F.lit(NOW_MS))
+    done = assemble.commits(derived.order_log(spark, sf_dir)).select(*KEYS, "gno")
+    made = envelopes.envelopes(done, assemble.committed_ddl(log, ends), envelopes.row_events(rows, time), KEYS)
+    return made.select(
+        "gno", F.size("ddl").cast("long").alias("n_ddl"), F.size("events").cast("long").alias("n_events"),
+        F.array_join(F.transform("ddl", lambda x: x["query"]), ";").alias("queries"), F.array_join(F.transform("events", lambda x: x["subject"]), ",").alias("subjects"),
+    )
+
+
+def doc_effects(spark, sf_dir):
+    done = documents.effects(derived.document_log(spark, sf_dir), only=DOCS)
+    return done.select("pos", "effect", "row_op", "subject", "data_json", F.col("control.kind").alias("control"), F.col("control.to_database").alias("to_database"), F.col("control.to_table").alias("to_table"))
+
+
+def doc_effects_signal(spark, sf_dir):
+    return documents.effects(derived.document_log(spark, sf_dir), "signal").groupBy("effect", "row_op", "data_json").agg(F.count("*").alias("n"))
+
+
+def doc_runs(spark, sf_dir):
+    return documents.runs(derived.document_log(spark, sf_dir)).groupBy("run_start").agg(F.max("pos").alias("run_end"), F.count("*").alias("n_changes"))
+
+
+def doc_positions(spark, sf_dir):
+    done = documents.commits(documents.effects(derived.document_log(spark, sf_dir), only=DOCS))
+    return done.select("run_start", "n_rows", "n_controls", "stop", "at_json", "after_json")
+
+
+def doc_parts(spark, sf_dir):
+    return documents.n_parts(documents.effects(derived.document_log(spark, sf_dir), only=DOCS), 2).select("run_start", "n_rows", "n_parts")
+
+
+def control_stop(spark, sf_dir):
+    done = documents.until_stop(documents.commits(documents.effects(derived.document_log(spark, sf_dir), only=DOCS)))
+    return done.select("run_start", "run_end", "n_rows", "stop")
+
+
+def token_times(spark, sf_dir):
+    log = derived.document_log(spark, sf_dir)
+    token = F.when(F.col("pos") % 5 == 0, F.concat(F.lit("83"), F.col("resume_token"))).when(F.col("pos") % 7 == 0, F.substring("resume_token", 1, 17)).otherwise(F.col("resume_token"))
+    return log.select("pos", token_time(token).alias("x")).select("pos", F.col("x.t").alias("t"), F.col("x.i").alias("i"))
+
+
+def seed_and_tail(spark, sf_dir):
+    people = derived.table(spark, sf_dir, "customer")
+    snapshot = people.select(F.lit("docs-1").alias("source_id"), F.lit("app.customer").alias("subject"), F.col("c_custkey").alias("key"), F.col("c_name").alias("document"))
+    log = documents.effects(derived.document_log(spark, sf_dir)).where("effect = 'row'")
+    tail = log.select("source_id", "subject", F.col("pos").alias("key"), F.col("row_op").alias("op"), F.col("full_document").alias("document"), F.col("cluster_time.t").alias("t"), F.col("cluster_time.i").alias("i"))
+    return documents.seed_and_tail(snapshot, tail, 1_704_200_000, 700).select("phase", "subject", "key", "op", "document", "t", "i")
+
+
+def gate_report(spark, sf_dir):
+    k = F.col("n_nationkey")
+    value = lambda name, at: F.when(k % 7 == at, "OFF").when(k % 11 != at, {"gtid_mode": "on", "enforce_gtid_consistency": "ON", "binlog_format": "Row"}.get(name, "FULL"))
+    names = ("binlog_format", "binlog_row_image", "binlog_row_metadata", "gtid_mode", "enforce_gtid_consistency")
+    held = derived.table(spark, sf_dir, "nation").select(F.concat(F.lit("s"), k.cast("string")).alias("source_id"), F.inline(F.array(*[F.struct(F.lit(n).alias("name"), value(n, i).alias("value")) for i, n in enumerate(names)])))
+    return gates.variable_report(held.where("value is not null")).select("source_id", "name", "status")
+
+
+def lag_metrics(spark, sf_dir):
+    lag = F.lit(NOW_MS) - epoch_millis(F.col("ts"))
+    return derived.table(spark, sf_dir, "events").select("event_type", lag.alias("lag_ms")).groupBy("event_type").agg(F.count("*").alias("n"), F.min("lag_ms").alias("least_ms"), F.max("lag_ms").alias("most_ms"))
+
+
+def health_samples(spark, sf_dir):
+    """The first and every hundredth row event, as a capture reports them."""
+    _, _, rows = _done(spark, sf_dir)
+    counted = ordered.running_sum(rows, ["source_id"], ORDER, F.lit(1).cast("long"), "n")
+    return counted.where("n = 1 or n % 100 = 0").select("n", "gno", "subject")
+
+
+NAMES = (
+    commit_envelopes, commit_shapes, empty_commits, include_filtered, include_asof, ddl_classify, row_event_json, table_map_asof, payload_unpack, log_violations, gtid_islands, gtid_set_after, gtid_union,
+    gtid_handshake, parts_by_rows, parts_by_bytes, part_rules, row_fanout, envelope_size, full_envelopes, doc_effects, doc_effects_signal, doc_runs, doc_positions, doc_parts, control_stop, token_times,
+    seed_and_tail, gate_report, lag_metrics, health_samples,
+)
+
 
 def queries() -> dict:
-    return {}
+    return {f.__name__: f for f in NAMES} | {"row_events_full": _row_events("full"), "row_events_signal": _row_events("signal")}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLES)
