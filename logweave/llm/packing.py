@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from functools import lru_cache
@@ -17,37 +18,55 @@ from pyspark.sql import functions as F
 
 from logweave.llm import words
 from logweave.llm.common import durable, read
+from logweave.llm.tokens import WordSplitter
 
-#: Words whose ids a worker keeps. When full, it starts anew: this bounds memory and changes no id.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps. This bounds memory and changes no id.
+KEPT_WORDS = 400_000
 
 #: A bin's items as ((length, how many), ...), longest first, and how many such bins there are.
 Group = tuple[tuple[tuple[int, int], ...], int]
 
 
 class WordIds:
-    """Token ids as the tokenizers library gives them, a word at a time: no token of its vocabulary spans white space."""
+    """Token ids as the tokenizers library gives them, a word at a time: no token of its vocabulary spans white space.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        two, one = self.library.encode("a b", add_special_tokens=False).ids, [self.library.encode(x, add_special_tokens=False).ids for x in "ab"]
-        if two != one[0] + one[1]:
-            raise ValueError(f"{path} doesn't split texts at white space")
-        self.known: dict[bytes, bytes] = {}
+    A word's pre-tokens go to the library's model; a word with a special string goes through all of the library.
+    """
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
+    def __init__(self, path: str):
+        self.pretokens = WordSplitter(path)
+        self.library = self.pretokens.library
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, some: list[str]) -> None:
+        tokenize, pretokens, known = self.library.model.tokenize, self.pretokens, self.known
+        for word in some:
+            if pretokens.is_special(word):
+                found = self.library.encode(word, add_special_tokens=False).ids
+            else:
+                found = [token.id for pretoken in pretokens(word) for token in tokenize(pretoken)]
+            known[word] = array("I", found).tobytes()
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
         """Unsigned little-endian 32-bit ids of each text."""
-        split = [(text or "").encode().split() for text in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        for low in range(0, len(new), 20_000):
-            some = new[low : low + 20_000]
-            for word, found in zip(some, self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, own)) for own in split]
+        flat, n_words = words.split(texts)
+        coded = flat.dictionary_encode()
+        some = coded.dictionary.to_pylist()
+        if len(self.known) > KEPT_WORDS:  # short words come often, so they stay
+            self.known = {word: own for word, own in self.known.items() if len(word) < 8}
+            if len(self.known) > KEPT_WORDS // 2:
+                self.known.clear()
+        self.learn([word for word in some if word not in self.known])
+        held = list(map(self.known.__getitem__, some))
+        lengths = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        starts = np.cumsum(lengths) - lengths
+        place = coded.indices.to_numpy()
+        n, first = lengths[place], starts[place]
+        ends = np.cumsum(n)
+        every = np.frombuffer(b"".join(held), "<u4")[np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
+        data = every.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -63,14 +82,11 @@ def pieces(docs: DataFrame, path: str, room: int = 4096, end_id: int = 1, with_i
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         made = word_ids(path)
         for batch in words.slices(batches):
             out = [[], [], [], [], []]
             held = []
-            for own, ids in zip(batch.column("id").to_pylist(), made.ids(batch.column("text").to_pylist()), strict=True):
+            for own, ids in zip(batch.column("id").to_pylist(), made.ids(batch.column("text")), strict=True):
                 ids += end
                 for piece, low in enumerate(range(0, len(ids), 4 * room)):
                     cut = ids[low : low + 4 * room]

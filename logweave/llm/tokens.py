@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from logweave.llm import words
 from logweave.llm.common import read
 
-#: Words whose counts a worker keeps. When full, it starts anew: this bounds memory and changes no count.
-KEPT_WORDS = 500_000
+#: Words whose counts a worker keeps. This bounds memory and changes no count.
+KEPT_WORDS = 400_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -92,45 +92,76 @@ class RaggedMerger:
         return out
 
 
-class TokenCounter:
-    """Counts tokens as the library that a vocabulary file is for does, without added special tokens."""
+class WordSplitter:
+    """A vocabulary file's own pre-tokens, a word at a time: the model that it is for must split at white space.
+
+    Words of ASCII and of Latin letters that are their own NFC form take a short way, with the same result; all others
+    go through the library's normalizer and pre-tokenizer.
+    """
+
+    short = re.compile("[!-~À-ÖØ-öø-į]+")
+    plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-į]+|[0-9]|[^a-z0-9ß-öø-į]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            told = json.load(file)
-        model = told["model"]
-        if model["type"] != "BPE":
-            raise ValueError(f"{path} holds a {model['type']} model; byte-pair merging needs BPE")
+            self.told = json.load(file)
         self.library = Tokenizer.from_file(path)
-        self.merger = RaggedMerger(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
-        self.special = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
-        if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in told["added_tokens"]):
+        added = self.told["added_tokens"]
+        if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError(f"{path} has added tokens that don't stand for their string alone")
-        self.cut = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\\sa-z0-9]+", re.ASCII)
-        if self.pretokens("a b") != self.pretokens("a") + self.pretokens("b") or self.pretokens("It's a1,") != self.plain.findall("it's a1,"):
-            raise ValueError(f"{path} doesn't split texts at white space and punctuation")
-        self.known: dict[str, int] = {}
-
-    def pretokens(self, piece: str) -> list[str]:
-        """As the library's normalizer and pre-tokenizer make them."""
+        names = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, names))) if names else None
+        self.spelled = self._byte_letters()
+        for probe in ("a b", "It's a1,", "Ünï-ßx don't_3²", "łódź"):
+            if self.by_library(probe) != [token for word in probe.split() for token in self(word)]:
+                raise ValueError(f"{path} doesn't split texts at white space and punctuation as expected")
+
+    def _byte_letters(self) -> dict[int, str]:
+        """The character that stands for each byte: printable ones for themselves, the others from 256 on, in order."""
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in own]
+        return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+    def by_library(self, piece: str) -> list[str]:
         if self.library.normalizer is not None:
             piece = self.library.normalizer.normalize_str(piece)
         return [token for token, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
 
+    def is_special(self, word: str) -> bool:
+        return "<" in word and self.special is not None and self.special.search(word) is not None
+
+    def __call__(self, word: str) -> list[str]:
+        """Pre-tokens of a word without special strings, spelled in the vocabulary's characters."""
+        if word.isascii():
+            if word.isalpha():
+                return [word.lower()]
+            if word.isprintable():
+                return self.plain.findall(word.lower())
+        elif self.short.fullmatch(word):
+            return [x.encode().decode("latin-1").translate(self.spelled) for x in self.plain.findall(word.lower())]
+        return self.by_library(word)
+
+
+class TokenCounter:
+    """Counts tokens as the library that a vocabulary file is for does, without added special tokens."""
+
+    def __init__(self, path: str):
+        self.pretokens = WordSplitter(path)
+        model = self.pretokens.told["model"]
+        if model["type"] != "BPE":
+            raise ValueError(f"{path} holds a {model['type']} model; byte-pair merging needs BPE")
+        self.merger = RaggedMerger(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+        self.known: dict[str, int] = {}
+
     def learn(self, some: list[str]) -> None:
         """Adds the counts of words not yet known."""
         found, owner, extra = [], [], np.zeros(len(some), np.int64)
         for k, word in enumerate(some):
-            if word.isascii() and word.isalpha():
-                own = [word.lower()]
-            elif self.cut and self.cut.search(word):
-                extra[k] = len(self.cut.findall(word))
-                own = [token for piece in self.cut.split(word) if piece for token in self.pretokens(piece)]
-            elif word.isascii() and word.isprintable():
-                own = self.plain.findall(word.lower())
+            if self.pretokens.is_special(word):
+                extra[k] = len(self.pretokens.special.findall(word))
+                own = [token for piece in self.pretokens.special.split(word) if piece for token in self.pretokens(piece)]
             else:
                 own = self.pretokens(word)
             found += own
@@ -143,8 +174,10 @@ class TokenCounter:
         flat, n_words = words.split(texts)
         coded = flat.dictionary_encode()
         some = coded.dictionary.to_pylist()
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+        if len(self.known) > KEPT_WORDS:  # short words come often, so they stay
+            self.known = {word: n for word, n in self.known.items() if len(word) < 8}
+            if len(self.known) > KEPT_WORDS // 2:
+                self.known.clear()
         if new := [word for word in some if word not in self.known]:
             self.learn(new)
         per_word = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))

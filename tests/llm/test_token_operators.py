@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -33,7 +34,7 @@ def test_counts_and_ids_are_the_librarys(spark):
     want = {i: len(library_ids(t)) for i, t in enumerate(texts)}
     got = {r["id"]: (r["n_bytes"], r["n_tokens"]) for r in tokens.token_counts(docs, PATH).collect()}
     assert got == {i: (len((t or "").encode()), want[i]) for i, t in enumerate(texts)}
-    ids = packing.WordIds(PATH).ids(texts)
+    ids = packing.WordIds(PATH).ids(pa.array(texts))
     assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [library_ids(t) for t in texts]
 
 
