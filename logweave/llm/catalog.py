@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, decontaminate, licenses, lines, packing, quality, sharding, simhash, tokens
+from logweave.llm import chat, decontaminate, licenses, lines, packing, passages, quality, sharding, simhash, tokens
 
 
 def queries() -> dict:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_quality_rules": quality.op2_quality_rules,
+        "op3_substring_dedup": passages.op3_substring_dedup,
         "op4_sharding": sharding.op4_sharding,
         "op5_line_dedup": lines.op5_line_dedup,
         "op6_chat_format": chat.op6_chat_format,
