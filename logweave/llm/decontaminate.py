@@ -203,26 +203,19 @@ def decontaminate(
     fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
     state = docs.withColumns({"_hit": F.lit(None).cast("binary"), "_items": F.lit(None).cast("array<string>")})
 
-    def searched(rows: DataFrame, index: Index) -> DataFrame:
-        shared = rows.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches):
-            for batch in words.slices(batches, text_col):
-                flat, counts = words.split(batch.column(text_col), words.ALNUM)
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                hit, found = shared.value.search(flat, edges)
-                bits, names = batch.column("_hit").to_pylist(), batch.column("_items").to_pylist()
-                for k, more in found.items():
-                    mine = hit[edges[k] : edges[k + 1]]
-                    if bits[k] is not None:
-                        mine = mine | np.unpackbits(np.frombuffer(bits[k], np.uint8))[: len(mine)].astype(bool)
-                    bits[k], names[k] = np.packbits(mine).tobytes(), sorted({*(names[k] or ()), *more})
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string()))], [*own, "_hit", "_items"])
-
-        return words.map_arrow(rows, run, f"{fields}, _hit binary, _items array<string>")
-
-    for k, index in enumerate(item_blocks(items, window, block_words, item_id, item_text)):
-        state = searched(durable(state) if k else state, index)
+    def search(batches, shared):
+        """The batches with the hits of one more index."""
+        for batch in words.slices(batches, text_col):
+            flat, counts = words.split(batch.column(text_col), words.ALNUM)
+            edges = np.concatenate([[0], np.cumsum(counts)])
+            hit, found = shared.value.search(flat, edges)
+            bits, names = batch.column("_hit").to_pylist(), batch.column("_items").to_pylist()
+            for k, more in found.items():
+                mine = hit[edges[k] : edges[k + 1]]
+                if bits[k] is not None:
+                    mine = mine | np.unpackbits(np.frombuffer(bits[k], np.uint8))[: len(mine)].astype(bool)
+                bits[k], names[k] = np.packbits(mine).tobytes(), sorted({*(names[k] or ()), *more})
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string()))], [*own, "_hit", "_items"])
 
     def finish(batches):
         for batch in words.slices(batches, text_col):
@@ -244,7 +237,12 @@ def decontaminate(
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *columns], [*own, "n_words", "n_hit", "hit_items", "hit_spans", "cleaned", "kept"])
 
     new = "n_words long, n_hit long, hit_items array<string>, hit_spans array<struct<start:long,end:long>>, cleaned string, kept boolean"
-    return words.map_arrow(state, finish, f"{fields}, {new}")
+    last = None
+    for index in item_blocks(items, window, block_words, item_id, item_text):
+        if last is not None:
+            state = durable(words.map_arrow(state, lambda batches, shared=last: search(batches, shared), f"{fields}, _hit binary, _items array<string>"))
+        last = docs.sparkSession.sparkContext.broadcast(index)
+    return words.map_arrow(state, lambda batches: finish(search(batches, last) if last else batches), f"{fields}, {new}")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,7 @@ LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 ALNUM = bytes(LOWERED[b] if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds about `most` bytes of text, or one row."""
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
@@ -63,6 +65,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def give_back() -> None:
+    """Memory that Python and Arrow no longer use goes back to the system: a worker stays between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_arrow(docs: DataFrame, function, schema: str) -> DataFrame:
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return docs.mapInArrow(run, schema)
