@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import LOWER, UPPER, id_or_last, literal_rows, read, text_or_empty
+from logweave.llm.common import id_or_last, literal_rows, read, text_or_empty
 
 #: Notices in the words that their licenses and common usage give.
 TEMPLATES = (
@@ -30,20 +30,20 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 )
 #: Words in a shingle, and shingles in a window; windows start at every STEP-th word, so each shingle is in one of them.
-WIDTH, STEP = 5, 4
-#: A notice that lies whole in a text shares at least a quarter of some window's shingles, as one of four; so all
-#: bands miss it with a chance of at most (3/4)^32, one in ten thousand. A band is one row: it holds on any collision.
-BANDS = 32
+WIDTH, STEP = 5, 2
+#: A notice that lies whole in a text has at least one of the two shingles of some window; so all bands miss it with a
+#: chance of at most (1/2)^13, one in eight thousand. A band is one row: it holds on any collision.
+BANDS = 13
 
 
 def plain_words(text: str) -> list[str]:
     """As word_array splits a text."""
-    return re.findall(r"[^\x00-\x2f:-@\[-`{-\x7f]+", text.translate(str.maketrans(UPPER, LOWER)))
+    return re.findall(r"[^\x00-\x2f:-@\[-`{-\x7f]+", text.lower())
 
 
 def word_array(text: Column) -> Column:
-    """Runs of ASCII letters and digits and of all characters beyond ASCII, A-Z in lower case."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x00-\x2f:-@\[-`{-\x7f]+"), lambda w: w != "")
+    """Runs of ASCII letters and digits and of all characters beyond ASCII, in lower case."""
+    return F.array_remove(F.split(F.lower(text), r"[\x00-\x2f:-@\[-`{-\x7f]+"), "")
 
 
 def _window(words: Column, at: Column, put_in: int = STEP) -> list[Column]:
@@ -123,10 +123,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
   FROM documents
 ), t AS (
-  SELECT template, license, regexp_extract_all(translate(notice, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  SELECT template, license, regexp_extract_all(lower(notice), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
   FROM (VALUES NOTICES) v(template, license, notice)
 ), ts AS (
   SELECT DISTINCT template, license, array_to_string(ws[i:i + 4], ' ') AS shingle
@@ -139,11 +139,11 @@ WITH w AS (
 ), hit AS (
   SELECT doc_id, total, p, template, license, shingle FROM ds JOIN ts USING (shingle)
 ), win AS (
-  SELECT DISTINCT doc_id, template, license, (p // 4) * 4 AS s FROM hit
+  SELECT DISTINCT doc_id, template, license, (p // 2) * 2 AS s FROM hit
 ), share AS (
   SELECT win.doc_id, win.license, win.template, s, count(DISTINCT shingle) / any_value(n.n)::DOUBLE AS containment
   FROM win JOIN n USING (template) JOIN hit ON hit.doc_id = win.doc_id AND hit.template = win.template
-    AND p >= greatest(s - reach, 0) AND p + 5 <= greatest(s - reach, 0) + 2 * reach + 9
+    AND p >= greatest(s - reach, 0) AND p + 5 <= greatest(s - reach, 0) + 2 * reach + 7
   GROUP BY ALL
 ), best AS (
   SELECT doc_id, license, max(containment) AS containment, min(s) FILTER (WHERE containment >= 0.8) AS first_word
