@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import SPACE, ascii_lower, let, read, text_or_empty
+from logweave.llm.common import SPACE, let, read, text_or_empty
 
 #: Characters that are symbols in prose.
 SYMBOLS = "#*$%&|<>"
+#: Characters between the links of a navigation bar.
+LINKS = "|»›"
 #: Phrases of page furniture, in lower case.
 BOILERPLATE = (
     "accept all cookies",
@@ -30,7 +34,7 @@ BOILERPLATE = (
 
 def chars_of(text: Column, some: str) -> Column:
     """How many characters of the text are in `some`."""
-    return F.char_length(text) - F.char_length(F.translate(text, some, ""))
+    return F.regexp_count(text, F.lit(f"[{some}]"))
 
 
 def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -41,7 +45,7 @@ def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
     takes n log n steps and nothing is shuffled. A null or empty text has no words, so it fails.
     """
     text = text_or_empty(text_col)
-    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+    words = F.array_remove(F.split(text, f"[{SPACE}]+"), "")
     counted = docs.withColumn("_words", words).withColumn("n_words", F.size("_words").cast("long"))
     hashes = F.when(
         F.col("n_words") >= 3,
@@ -64,14 +68,23 @@ def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
     with_word = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACE)) != "")
     return (
         counted.withColumn("n_repeat_words", F.when(F.col("_paired").isNull(), F.lit(0).cast("long")).otherwise(covered(repeated(F.col("_paired")))))
-        .withColumn("word_chars", (F.char_length(text) - chars_of(text, SPACE)).cast("long"))
-        .withColumn("n_symbols", chars_of(text, SYMBOLS).cast("long"))
+        .withColumn("word_chars", F.char_length(F.array_join("_words", "")).cast("long"))
+        .withColumn("n_symbols", F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"))
         .withColumn("n_dup_lines", let(with_word, lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
         .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .drop("_words", "_hashes", "_paired")
     )
 
 
+def _phrase_in(lowered: Column) -> Column:
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(phrase)) for phrase in BOILERPLATE])
+
+
+def suspect(text: Column) -> Column:
+    """False only if no line of the text can fail: without symbols, exclamation marks, links and phrases."""
+    return text.rlike(f"[{SYMBOLS}!{LINKS}]") | _phrase_in(F.lower(text))
+
+
 def judged_lines(text: Column, max_symbol_share: float = 0.1, min_links: int = 3, link_share: float = 0.25, max_shout_share: float = 0.25) -> Column:
     """array<struct<line, chars, why>>: the text's lines, their characters but white space, and why one fails or null.
 
@@ -83,12 +96,12 @@ def judged_lines(text: Column, max_symbol_share: float = 0.1, min_links: int = 3
     def judge(line: Column) -> Column:
         words = chars_of(F.btrim(line, F.lit(SPACE)), SPACE) + 1
         chars = F.char_length(line) - chars_of(line, SPACE)
-        links = chars_of(line, "|»›")
+        links = chars_of(line, LINKS)
         why = (
             F.when(chars == 0, None)
             .when((links >= min_links) & (links > link_share * words), "navigation")
             .when((chars_of(line, SYMBOLS) > max_symbol_share * chars) | (chars_of(line, "!") > F.greatest(F.lit(2), max_shout_share * words)), "punctuation")
-            .when((words < 30) & ascii_lower(line).rlike("|".join(BOILERPLATE)), "boilerplate")
+            .when((words < 30) & _phrase_in(F.lower(line)), "boilerplate")
         )
         return F.struct(line.alias("line"), chars.alias("chars"), why.alias("why"))
 
@@ -101,14 +114,14 @@ def clean_lines(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text")
     kept is false if base_failed, or if failing lines hold over max_lost of the characters. Columns of these names in
     the input are replaced, all others carried; a row in, a row out.
     """
-    lines = F.col("_judged")
+    lines, text = F.col("_judged"), text_or_empty(text_col)
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda n, x: n + x["chars"])
     return (
         base_columns(docs, text_col)
-        .withColumn("_judged", judged_lines(text_or_empty(text_col)))
-        .withColumn("all_chars", total(lines))
-        .withColumn("lost_chars", total(F.filter(lines, lambda x: x["why"].isNotNull())))
-        .withColumn("cleaned", F.array_join(F.transform(F.filter(lines, lambda x: x["why"].isNull()), lambda x: x["line"]), "\n"))
+        .withColumn("_judged", F.when(suspect(text), judged_lines(text)))
+        .withColumn("all_chars", F.col("word_chars"))
+        .withColumn("lost_chars", F.coalesce(total(F.filter(lines, lambda x: x["why"].isNotNull())), F.lit(0).cast("long")))
+        .withColumn("cleaned", F.when(F.col("lost_chars") == 0, text).otherwise(F.array_join(F.transform(F.filter(lines, lambda x: x["why"].isNull()), lambda x: x["line"]), "\n")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("all_chars")))
         .drop("_judged")
     )
@@ -153,7 +166,7 @@ WITH d AS (
 ), judged AS (
   SELECT r, sum(chars)::BIGINT AS all_chars,
          coalesce(sum(chars) FILTER (WHERE (links >= 3 AND links > 0.25 * words) OR symbols > 0.1 * chars
-           OR shouts > greatest(2, 0.25 * words) OR (words < 30 AND regexp_matches(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'PHRASES'))), 0)::BIGINT AS lost_chars,
+           OR shouts > greatest(2, 0.25 * words) OR (words < 30 AND regexp_matches(lower(l), 'PHRASES'))), 0)::BIGINT AS lost_chars,
          (count(*) FILTER (WHERE chars > 0) - count(DISTINCT l) FILTER (WHERE chars > 0)) AS n_dup_lines
   FROM line GROUP BY r
 )
