@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import SPACE, ascii_lower, id_or_last, read, text_or_empty
+from logweave.llm.common import SPACE, ascii_lower, durable, id_or_last, read, text_or_empty
 
 
 def line_key(line: Column) -> Column:
@@ -36,8 +36,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
         held = holders.agg(F.min("_id").alias("_first"), F.max("_id").alias("_end")).where(F.col("_first") < F.col("_end") if min_docs == 2 else F.lit(True))
     else:
         held = keyed.select("_k1", "_k2", "_id").distinct().groupBy("_k1", "_k2").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
+    # written down, so that the join's hot keys can split: an aggregate just below it would forbid that
+    held = durable(held.select("_k1", "_k2", "_first"))
     dropped = (
-        keyed.join(held.select("_k1", "_k2", "_first"), ["_k1", "_k2"])
+        keyed.join(held, ["_k1", "_k2"])
         .where(F.col("_id") > F.col("_first"))
         .groupBy("_id", "_hash")
         .agg(F.collect_set("_place").alias("_dropped"))
