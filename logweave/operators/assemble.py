@@ -95,10 +95,10 @@ def commits(log: DataFrame, only: frozenset[str] | None = None, versions: DataFr
     ends = endings(log)
     rows = committed_rows(log, ends, width)
     rows = pinned(rows, versions).where("included") if versions is not None else rows.where(allows(F.col("subject"), only))
-    n_rows = rows.groupBy(*TXN).agg(F.count("*").alias("n_rows"))
-    n_ddl = committed_ddl(log, ends).groupBy(*TXN).agg(F.count("*").alias("n_ddl"))
-    counts = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_rows", "n_ddl")}
-    return ends.where("ended is not null").drop("opened").join(n_rows, TXN, "left").join(n_ddl, TXN, "left").withColumns(counts)
+    events = rows.select(*TXN, F.lit(1).alias("row"), F.lit(0).alias("ddl")).unionByName(committed_ddl(log, ends).select(*TXN, F.lit(0).alias("row"), F.lit(1).alias("ddl")))
+    counts = events.groupBy(*TXN).agg(F.sum("row").alias("n_rows"), F.sum("ddl").alias("n_ddl"))
+    whole = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_rows", "n_ddl")}
+    return ends.where("ended is not null").drop("opened").join(counts, TXN, "left").withColumns(whole)
 
 
 def violations(log: DataFrame, only: frozenset[str] | None = None, width: int = WIDTH) -> DataFrame:
