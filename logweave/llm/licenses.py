@@ -28,6 +28,60 @@ TEMPLATES = (
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    # usual short wordings, openings and headings of full texts; most have four shingles at most and must be there word for word
+    ("afl-3.0", "Licensed under the Academic Free License version 3.0"),
+    ("agpl-3.0", "under the GNU Affero General Public License"),
+    ("agpl-3.0", "terms of the GNU Affero General Public License"),
+    ("agpl-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3"),
+    ("apache-2.0", "Apache License, Version 2.0"),
+    ("apache-2.0", "under the Apache License 2.0"),
+    ("apache-2.0", "under the Apache 2.0 License"),
+    ("artistic-2.0", "The Artistic License 2.0"),
+    ("bsd", "Licensed under the BSD License"),
+    ("bsd", "Released under the BSD License"),
+    ("bsd", "under the BSD 2-Clause License"),
+    ("bsd", "under the BSD 3-Clause License"),
+    ("bsl-1.0", "Boost Software License, Version 1.0"),
+    ("bsl-1.0", "Boost Software License - Version 1.0"),
+    ("cc-by-4.0", "under a CC BY 4.0"),
+    ("cc-by-4.0", "Creative Commons Attribution 4.0 International"),
+    ("cc-by-nc-4.0", "under a CC BY-NC 4.0"),
+    ("cc-by-nc-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("cc-by-nc-nd-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"),
+    ("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("cc-by-nc-sa-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"),
+    ("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0"),
+    ("cc-by-nd-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International"),
+    ("cc-by-sa-4.0", "under a CC BY-SA 4.0"),
+    ("cc-by-sa-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("cc0-1.0", "CC0 1.0 Universal Public Domain"),
+    ("cc0-1.0", "Creative Commons Zero v1.0 Universal"),
+    ("epl-2.0", "Eclipse Public License - v 2.0"),
+    ("epl-2.0", "Eclipse Public License, version 2.0"),
+    ("gpl-2.0", "GNU General Public License, version 2"),
+    ("gpl-2.0", "GNU General Public License v2"),
+    ("gpl-2.0", "Free Software Foundation; either version 2 of the"),
+    ("gpl-3.0", "GNU General Public License, version 3"),
+    ("gpl-3.0", "GNU General Public License v3"),
+    ("isc", "Licensed under the ISC License"),
+    ("isc", "Released under the ISC License"),
+    ("lgpl", "under the GNU Lesser General Public License"),
+    ("lgpl", "terms of the GNU Lesser General Public License"),
+    ("lgpl", "GNU LESSER GENERAL PUBLIC LICENSE Version"),
+    ("lgpl", "terms of the GNU Library General Public License"),
+    ("mit", "Licensed under the MIT License"),
+    ("mit", "Distributed under the MIT License"),
+    ("mit", "Available under the MIT License"),
+    ("mit", "under the terms of the MIT License"),
+    ("mit", "licensed under the terms of MIT"),
+    ("mpl-2.0", "Mozilla Public License, v. 2.0"),
+    ("mpl-2.0", "Mozilla Public License, version 2.0"),
+    ("mpl-2.0", "Mozilla Public License 2.0"),
+    ("unlicense", "Released under the Unlicense License"),
+    ("unlicense", "dedicated to the public domain under the Unlicense"),
+    ("zlib", "Licensed under the zlib License"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty"),
 )
 #: Words in a shingle, and shingles in a window; windows start at every STEP-th word, so each shingle is in one of them.
 WIDTH, STEP = 5, 2

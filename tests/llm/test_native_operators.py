@@ -177,3 +177,26 @@ def test_licenses(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     with pytest.raises(ValueError):
         licenses.scan(spark.createDataFrame([], "doc_id long, text string"), (("x", "too short"),))
+
+
+def test_usual_license_wordings_and_headings(spark):
+    told = {
+        "Licensed under the MIT License.": {"mit"},
+        "This program is distributed under the MIT license, as is.": {"mit"},
+        "Apache License\n    Version 2.0, January 2004": {"apache-2.0"},
+        "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007": {"gpl-3.0"},
+        "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991": {"gpl-2.0"},
+        "GNU LESSER GENERAL PUBLIC LICENSE\n Version 2.1, February 1999": {"lgpl"},
+        "Released under the GNU Lesser General Public License.": {"lgpl"},
+        "GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007": {"agpl-3.0"},
+        "Mozilla Public License Version 2.0": {"mpl-2.0"},
+        "licensed under version 3 of the GNU Affero General Public License into a single combined work": set(),
+        "use the GNU Lesser General Public License instead of this License": set(),
+        "She was licensed under the old rules, as a driver, version 2.0 of herself.": set(),
+    }
+    texts = [f"some words before it\n{text}\nand some after it" for text in told]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.scan(rows).collect():
+        got.setdefault(r["id"], set()).add(r["license"])
+    assert [got.get(k, set()) for k in range(len(told))] == list(told.values())
