@@ -5,10 +5,12 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from logweave.llm.common import LOWER, SPACE, UPPER
@@ -59,6 +61,31 @@ def joined(flat: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray]:
     return (data.to_pybytes() if data else b""), ends - lengths, ends
 
 
+def shingle_codes(texts: pa.Array, width: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of `width` words, made of their words' hashes, and where each text's begin and end among them.
+
+    short: a text of fewer words, but not none, has one shingle of them all.
+    """
+    flat, counts = split(texts, LOWERED)
+    n = np.maximum(counts - width + 1, np.minimum(counts, 1) if short else 0)
+    edges = np.concatenate([[0], np.cumsum(n)])
+    if not edges[-1]:
+        return np.zeros(0, np.uint64), edges
+    coded = flat.dictionary_encode()
+    data, starts, ends = joined(coded.dictionary)
+    cut = map(data.__getitem__, map(slice, starts.tolist(), ends.tolist()))
+    each = np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(42)), np.uint64, len(starts))[coded.indices.to_numpy()]
+    owner = np.repeat(np.arange(len(counts)), n)
+    first = np.concatenate([[0], np.cumsum(counts)])[owner] + np.arange(edges[-1]) - edges[owner]
+    size = np.minimum(counts, width)[owner] if short else np.full(len(owner), width)
+    out = each[first]
+    for k in range(1, width):
+        out = out * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+        out += np.where(size > k, each[np.minimum(first + k, len(each) - 1)], np.uint64(0))
+    return out, edges
+
+
 def small_batches(spark: SparkSession) -> None:
     """Rows go to Python in batches that stay small however long texts are, unless the session already says how."""
     if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", str(2**63 - 1), str(2**31 - 1)):
