@@ -36,15 +36,35 @@ def let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, as spark.checkpoint.dir names it; in local mode one may be made."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df, written to the folder that the cluster's executors share, and cut from its lineage."""
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own, made of the given ones, that df doesn't have in any case of letters."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A few rows from the driver as a constant of the plan."""
     import json

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweave.llm import words
-from logweave.llm.common import durable, id_or_last, read
+from logweave.llm.common import durable, fresh_names, id_or_last, read
 from logweave.llm.components import components
 
 BITS = 64
@@ -244,6 +244,195 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+#: Lanes of a long, one for each bit of a byte, the highest first.
+_LANES = np.array([sum((byte >> bit & 1) << 8 * bit for bit in range(8)) for byte in range(256)], np.uint64)
+
+
+def wide_prints_of(texts: pa.Array, width: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles, blocks of 64 bits) of each text: SimHash over its set of shingles, each block with hashes of its own.
+
+    Bits are counted in eight lanes of a long, over runs of 255 shingles at most, so that no lane runs over.
+    """
+    codes, edges = words.shingle_codes(texts, width, short=True)
+    owner = np.repeat(np.arange(len(texts)), np.diff(edges))
+    order = np.lexsort((codes, owner))
+    codes, owner = codes[order], owner[order]
+    new = np.ones(len(codes), bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
+    codes, owner = codes[new], owner[new]
+    sizes = np.bincount(owner, minlength=len(texts))
+    out = np.zeros((len(texts), blocks), np.uint64)
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return sizes, out
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    runs = -(-sizes[some] // 255)
+    of_text = np.concatenate([[0], np.cumsum(runs)[:-1]])
+    cuts = np.repeat(first[some], runs) + 255 * (np.arange(runs.sum()) - np.repeat(of_text, runs))
+    half = sizes[some][:, None]
+    for block in range(blocks):
+        mixed = (codes ^ np.uint64(0x9E3779B97F4A7C15 * (block + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(32)
+        for byte in range(8):
+            lanes = np.add.reduceat(_LANES[(mixed >> np.uint64(8 * byte)).astype(np.uint8)], cuts)
+            ones = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), of_text, axis=0)
+            bits = np.packbits(ones * 2 > half, axis=1, bitorder="little").ravel().astype(np.uint64)
+            out[some, block] |= bits << np.uint64(8 * byte)
+    return sizes, out
+
+
+def partition_plan(n: int, similarity: float, recall: float) -> tuple[int, int, int]:
+    """(bits of a part, parts of a block, blocks): so that parts are told apart among n rows, and alike pairs are found with the chance `recall`.
+
+    Sets of that Jaccard similarity and about equal sizes differ in each bit with a chance of acos(cosine) / pi. A pair
+    is a candidate where all bits of a part are equal; with thresholds of 0 for each part the pigeonhole principle
+    leaves out no pair that differs in fewer bits than there are parts, and chance finds those that differ in more.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    same = 1 - np.arccos(cosine) / np.pi
+    width = int(min(32, max(16, np.ceil(np.log2(max(n, 2))) + 2)))
+    parts = 64 // width
+    blocks = int(np.ceil(np.log1p(-recall) / np.log1p(-(same**width)) / parts))
+    return width, parts, max(2, blocks)
+
+
+def block_statistics(prints: DataFrame, blocks: int) -> tuple[int, np.ndarray]:
+    """Of all rows of prints (fps): their number, and for each block and two bits of it how often both are set."""
+
+    def run(batches):
+        total, n = np.zeros((blocks, BITS, BITS)), 0
+        for batch in batches:
+            fps = batch.column("fps").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, blocks)
+            for low in range(0, len(fps), 2048):
+                bits = np.unpackbits(fps[low : low + 2048].astype(">u8").view(np.uint8).reshape(-1, blocks, 8), axis=2).astype(np.float32)
+                total += np.matmul(bits.transpose(1, 2, 0), bits.transpose(1, 0, 2))
+            n += len(fps)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(blocks), pa.int32()), pa.array(np.full(blocks, n)), pa.array(list(total.reshape(blocks, -1)))], ["block", "n", "both"])
+
+    def added(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            both = batch.column("both").flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS * BITS)
+            for k, (block, n) in enumerate(zip(batch.column("block").to_pylist(), batch.column("n").to_pylist(), strict=True)):
+                old = held.setdefault(block, [0, np.zeros(BITS * BITS)])
+                old[0] += n
+                old[1] += both[k]
+        for block, (n, both) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([n]), pa.array([both.tolist()])], ["block", "n", "both"])
+
+    schema = "block int, n long, both array<double>"
+    summed = prints.select("fps").mapInArrow(run, schema).repartition("block").mapInArrow(added, schema).collect()  # 64 x 64 sums for each block
+    both = np.zeros((blocks, BITS, BITS))
+    for block, _, values in summed:
+        both[block] = np.reshape(values, (BITS, BITS))
+    return (summed[0][1] if summed else 0), both
+
+
+def thresholds(n: int, both: np.ndarray, groups: list[list[int]]) -> list[int]:
+    """A threshold for each group of bits of a block, the same for all rows: by dynamic programming on expected candidates.
+
+    With a threshold t a row probes all values within t bits, and meets the rows that lie there: with independent bits
+    at the measured rates. The thresholds add up to 0, as those of one block's own pigeonhole principle.
+    """
+    costs = np.zeros((1, len(groups), 3))
+    for k, bits in enumerate(groups):
+        rates = np.clip(np.diag(both)[bits] / max(n, 1), 1e-6, 1 - 1e-6)
+        near = np.array([1.0, 0.0])
+        for p in rates:
+            differ = 2 * p * (1 - p)
+            near = np.array([near[0] * (1 - differ), near[1] * (1 - differ) + near[0] * differ])
+        costs[0, k, 1], costs[0, k, 2] = 1 + n * near[0], 1 + len(bits) + n * near.sum()
+    return allocate(costs, len(groups) - 1)[0].tolist()
+
+
+def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8, recall: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component): the smallest id that near copies lead to, itself included, for each different id of docs.
+
+    Near copies have sets of `width`-word shingles with a Jaccard similarity of at least `similarity`, worked out
+    exactly for every candidate. Candidates come from SimHash blocks of 64 bits (see partition_plan for how many, and
+    the chance `recall` with which a pair at just that similarity becomes one): each block's correlated bits are
+    grouped into parts, which get thresholds; who holds a probed value is compared with the smallest id that holds it,
+    if the next block's bits agree by and large. Equal texts, and texts without words, are one node from the start.
+    A text of fewer words than a shingle is one shingle. Ids that repeat are one document, whose words are those of its
+    smallest text; null ids sort last; an empty table gives no rows.
+    """
+    texts = docs.select(id_or_last(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    n = docs.count()
+    size, parts, blocks = partition_plan(n, similarity, recall)
+
+    def run(batches):
+        for batch in words.slices(batches):
+            sizes, fps = wide_prints_of(batch.column("text"), width, blocks)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, fps.size + 1, blocks), pa.int32()), pa.array(fps.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes.astype(np.int64)), lists], ["id", "size", "fps"])
+
+    found = words.map_arrow(texts, run, "id long, size long, fps array<long>")
+    prints = durable(found.withColumn("same", F.xxhash64("size", "fps")))
+    nodes = prints.groupBy("same").agg(F.min("id").alias("node"))
+    distinct = durable(prints.join(nodes, (F.col("id") == F.col("node")) & (prints["same"] == nodes["same"])).select("node", "size", "fps").dropDuplicates(["node"]))
+    held, both = block_statistics(distinct, blocks)
+    groups = [[bits[:size] for bits in grouped_bits(held, both[block], parts)] for block in range(blocks)]
+    levels = [thresholds(held, both[block], groups[block]) for block in range(blocks)]
+
+    def values(batches):
+        for batch in words_of_rows(batches):
+            fps = batch.column("fps").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, blocks)
+            full = np.flatnonzero(batch.column("size").to_numpy(zero_copy_only=False))
+            node = batch.column("node").to_numpy(zero_copy_only=False)[full]
+            for block in range(blocks):
+                beside = pa.array(fps[full, (block + 1) % blocks].view(np.int64))
+                for k, bits in enumerate(groups[block]):
+                    if levels[block][k] < 0:
+                        continue
+                    value = packed(fps[full, block], bits)
+                    for flip in flips(len(bits), levels[block][k]).tolist():
+                        key = (value ^ np.uint64(flip)) << np.uint64(24) | np.uint64(block * parts + k)
+                        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(key.view(np.int64)), beside], ["node", "key", "beside"])
+
+    rows = words.map_arrow(distinct, values, "node long, key long, beside long")
+    heads = durable(rows.groupBy("key").agg(F.min(F.struct("node", "beside")).alias("head"), F.max("node").alias("last")).where(F.col("head.node") < F.col("last")).drop("last"))
+    far = int(BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi + 4 * np.sqrt(BITS) * 0.36) + 1
+    near = rows.join(heads, "key").where((F.col("node") != F.col("head.node")) & (F.bit_count(F.col("beside").bitwiseXOR(F.col("head.beside"))) <= far))
+    pairs = durable(near.select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct())
+    own = texts.groupBy("id").agg(F.min("text").alias("text")) if n else texts
+    one = own.join(pairs.select("a").union(pairs.select("b")).distinct(), F.col("id") == F.col("a"), "left_semi")
+    told = pairs.join(one.select(F.col("id").alias("a"), F.col("text").alias("text")), "a").join(one.select(F.col("id").alias("b"), F.col("text").alias("other")), "b")
+
+    def verify(batches):
+        for batch in words.slices(batches):
+            (codes, edges), (others, ends) = (words.shingle_codes(batch.column(c), width, short=True) for c in ("text", "other"))
+            keep = []
+            for k in range(batch.num_rows):
+                x, y = np.unique(codes[edges[k] : edges[k + 1]]), np.unique(others[ends[k] : ends[k + 1]])
+                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                keep.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    linked = durable(words.map_arrow(told.select("a", "b", "text", "other"), verify, "a long, b long"))
+    member = components(linked).withColumnRenamed("node", "_node")
+    named = prints.select("id", "same").join(nodes, "same").join(member, F.col("node") == F.col("_node"), "left")
+    return named.groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+
+
+def keep_similar_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs whose id is the smallest of their group of near copies, all columns carried; how: as for similar_documents.
+
+    A document is an id; null ids are one document that sorts last. Of rows repeated with id and text one stays.
+    """
+    found = similar_documents(docs, id_col=id_col, text_col=text_col, **how)
+    return _one_row_each(docs, found.where("id = component").select("id"), id_col, text_col)
+
+
+def _one_row_each(docs: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose id is in stay (id), each once for an id and a text."""
+    own, stays, turn = fresh_names(docs, "_id", "_stays", "_turn")
+    kept = docs.withColumn(own, id_or_last(id_col)).join(stay.select(F.col("id").alias(stays)), F.col(own) == F.col(stays), "left_semi")
+    once = Window.partitionBy(own, F.xxhash64(text_col)).orderBy(own)
+    return kept.withColumn(turn, F.row_number().over(once)).where(F.col(turn) == 1).drop(own, turn)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs whose id is the smallest of their group, all columns carried; how: as for near_duplicates.
 
@@ -251,7 +440,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     once. Null ids are one document that sorts last.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    stay = found.where(id_or_last("id") == F.col("component")).select(id_or_last("id").alias("_stays")).distinct()
-    kept = docs.withColumn("_id", id_or_last(id_col)).join(stay, F.col("_id") == F.col("_stays"), "left_semi")
-    once = Window.partitionBy("_id", F.xxhash64(text_col)).orderBy("_id")
-    return kept.withColumn("_turn", F.row_number().over(once)).where("_turn = 1").drop("_id", "_turn")
+    return _one_row_each(docs, found.where(id_or_last("id") == F.col("component")).select(id_or_last("id").alias("id")).distinct(), id_col, text_col)

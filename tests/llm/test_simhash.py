@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from logweave.llm import simhash
 from logweave.llm.components import components
@@ -41,6 +42,27 @@ def plain_components(ids, prints, distance):
     return [least[find(k)] for k in range(len(ids))]
 
 
+def plain_similar(texts, similarity, width=5):
+    """{id: smallest id that pairs of at least that Jaccard similarity of shingles lead to}."""
+    sets = {}
+    for i, text in texts.items():
+        words = (text or "").lower().split()
+        sets[i] = {tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))} if words else {()}
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        common = len(sets[a] & sets[b])
+        if common >= similarity * (len(sets[a]) + len(sets[b]) - common) - 1e-9:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in texts}
+
+
 def texts(n=120):
     wild = random.Random(11)
     bank = [f"w{k}" for k in range(60)] + ["Ünï", "ẞ", "ABC", "x y"]
@@ -107,3 +129,42 @@ def test_components_of_paths_stars_and_loops(spark):
     want = {k: 0 for k in range(61)} | {k: 100 for k in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_similar_documents_are_found(spark):
+    wild = random.Random(21)
+    fresh = lambda n: [f"u{wild.randrange(10**6)}" for _ in range(n)]
+    told, pairs = [], []
+    for k in range(150):
+        body = fresh(wild.randrange(60, 400))
+        near = list(body)
+        for at in wild.sample(range(len(body)), max(1, len(body) // 100)):
+            near[at] = "changed"
+        told += [body, near]
+        pairs.append((2 * k, 2 * k + 1))
+    told += [fresh(3), fresh(1), [], [], fresh(900), ["x"] * 500, ["x"] * 700]
+    told += [told[0]] * 30
+    rows = {k: " ".join(t) for k, t in enumerate(told)}
+    docs = spark.createDataFrame(list(rows.items()) + [(None, None), (None, "one only")], "doc_id long, text string").withColumn("_id", F.lit("own"))
+    got = {r["id"]: r["component"] for r in simhash.similar_documents(docs).collect()}
+    want = plain_similar(rows, 0.8)
+    assert {i for i in rows if got[i] != want[i] and want[i] == i} == set()  # nothing is linked that isn't alike
+    alike = [i for i in rows if want[i] != i]
+    assert len(alike) > 140 and sum(got[i] == want[i] for i in alike) >= 0.98 * len(alike)
+    kept = simhash.keep_similar_one(docs)
+    assert kept.columns == docs.columns and {r["_id"] for r in kept.collect()} == {"own"}
+    assert simhash.keep_similar_one(docs.limit(0)).collect() == []
+    assert simhash.keep_one(docs).columns == docs.columns
+
+
+def test_a_large_group_of_near_copies_is_one(spark):
+    wild = random.Random(22)
+    body = [f"u{wild.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for k in range(1500):
+        near = list(body)
+        for at in wild.sample(range(300), 2):
+            near[at] = f"e{wild.randrange(10**6)}"
+        rows.append((k, " ".join(near)))
+    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r["component"] == 0 for r in got) >= 0.99 * len(rows)
