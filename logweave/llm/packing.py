@@ -150,6 +150,44 @@ def best_fit(counts: dict[int, int], room: int, wild: random.Random | None = Non
     return out
 
 
+def tight_fit(counts: dict[int, int], room: int, wild: random.Random, samples: int = 12) -> list[Group]:
+    """Bins for all items: the longest one left, then, again and again, the one, two or three items that leave least room.
+
+    All singles and pairs are tried, and triples with some lengths at random. Equal bins are made at once.
+    """
+    left = np.zeros(room + 1, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    out = []
+    while len(held := np.flatnonzero(left)):
+        used: Counter = Counter([int(held[-1])])
+        left[held[-1]] -= 1
+        gap = room - int(held[-1])
+        while gap and len(some := np.flatnonzero(left[: gap + 1])):
+            best = [int(some[-1])]
+            if best[0] < gap and 2 * some[0] <= gap:
+                thirds = np.concatenate([[0], np.unique(some[[wild.randrange(len(some)) for _ in range(samples)]])])
+                at = np.searchsorted(some, gap - thirds[:, None] - some[None, :], "right") - 1
+                pair = some[np.maximum(at, 0)]
+                # of one length there must be as many as are taken
+                taken = 1 + (pair == some[None, :]) + (pair == thirds[:, None])
+                ok = (at >= 0) & (left[pair] >= taken) & (left[some][None, :] >= 1 + (some[None, :] == thirds[:, None]))
+                sums = np.where(ok, thirds[:, None] + some[None, :] + pair, 0)
+                sums[0] += sums[0] > 0  # of equal sums, two items rather than three
+                k, j = np.unravel_index(int(sums.argmax()), sums.shape)
+                if sums[k, j] > best[0]:
+                    best = [int(x) for x in (thirds[k], some[j], pair[k, j]) if x]
+            for length in best:
+                left[length] -= 1
+                used[length] += 1
+                gap -= length
+        more = min(int(left[length]) // n for length, n in used.items())
+        for length, n in used.items():
+            left[length] -= n * more
+        out.append((tuple(sorted(used.items(), reverse=True)), 1 + more))
+    return out
+
+
 def filled(bin_: tuple[tuple[int, int], ...]) -> int:
     return sum(length * n for length, n in bin_)
 
@@ -186,7 +224,48 @@ def insert_best_fit(groups: list[Group], displaced: dict[int, int], room: int, w
                 insort(gaps, (gap - length, new))
             open_bins[new] += times
             n -= times
-    return list(open_bins.items()) + best_fit(left, room, wild, slip)
+    return list(open_bins.items()) + (tight_fit(left, room, wild) if left else [])
+
+
+def dominate(groups: list[Group], displaced: dict[int, int], room: int, passes: int = 3) -> tuple[list[Group], dict[int, int]]:
+    """Local search before displaced items are inserted: one that fits a bin in the place of a shorter item takes it.
+
+    Bins get fuller by it, and what is displaced instead is shorter and easier to place.
+    """
+    free = Counter(displaced)
+    lengths = sorted(length for length, n in free.items() if n)
+    for _ in range(passes):
+        out, changed = [], False
+        for bin_, times in groups:
+            gap = room - filled(bin_)
+            best = None
+            if gap and lengths:
+                for length, _ in bin_:
+                    at = bisect_right(lengths, length + gap) - 1
+                    if at >= 0 and lengths[at] > length and (best is None or lengths[at] - length > best[1] - best[0]):
+                        best = length, lengths[at]
+            if best is None:
+                out.append((bin_, times))
+                continue
+            old, new = best
+            n = min(times, free[new])
+            items = Counter(dict(bin_))
+            items[old] -= 1
+            items[new] += 1
+            out.append((tuple(sorted(((k, v) for k, v in items.items() if v), reverse=True)), n))
+            if times > n:
+                out.append((bin_, times - n))
+            free[new] -= n
+            if not free[new]:
+                lengths.remove(new)
+            if not free[old]:
+                insort(lengths, old)
+            free[old] += n
+            changed = True
+        groups = out
+        if not changed:
+            break
+    return groups, {length: n for length, n in free.items() if n}
 
 
 def crossover(one: list[Group], other: list[Group], counts: dict[int, int], room: int, wild: random.Random, slip: float) -> list[Group]:
@@ -201,7 +280,7 @@ def crossover(one: list[Group], other: list[Group], counts: dict[int, int], room
             child.append((bin_, times))
             for length, n in bin_:
                 free[length] -= n * times
-    return insert_best_fit(child, {length: n for length, n in free.items() if n}, room, wild, slip)
+    return insert_best_fit(*dominate(child, {length: n for length, n in free.items() if n}, room), room, wild, slip)
 
 
 def mutate(groups: list[Group], room: int, wild: random.Random, slip: float) -> list[Group]:
@@ -213,24 +292,47 @@ def mutate(groups: list[Group], room: int, wild: random.Random, slip: float) ->
         if id(group) in apart:
             for length, n in group[0]:
                 displaced[length] += n * group[1]
-    return insert_best_fit([group for group in groups if id(group) not in apart], displaced, room, wild, slip)
+    return insert_best_fit(*dominate([group for group in groups if id(group) not in apart], displaced, room), room, wild, slip)
 
 
 def least_bins(counts: dict[int, int], room: int) -> int:
-    """No packing has fewer bins: the tokens need as many, and so do the items over half a bin, of which no two meet."""
-    return max(-(-sum(length * n for length, n in counts.items()) // room), sum(n for length, n in counts.items() if 2 * length > room))
+    """No packing has fewer bins, as each of these shows.
 
+    The tokens need as many. Of items of k tokens or more, room // k go into one. Items over half a bin have one each,
+    and what they leave holds only some of the items of k tokens or more, none at all if it is under k.
+    """
+    n = np.zeros(room + 1, np.int64)
+    for length, many in counts.items():
+        n[length] = many
+    size = np.arange(room + 1)
+    tokens = int((n * size).sum())
+    at_least = n[::-1].cumsum()[::-1]
+    several = -(-at_least[1:] // (room // size[1:]))
+    half = room // 2
+    big, bigs = n[half + 1 :].sum(), np.concatenate([[0], n.cumsum()])
+    summed = np.concatenate([[0], (n * size).cumsum()])
+    best = max(-(-tokens // room), int(several.max(initial=0)))
+    for k in range(1, half + 1):
+        open_n, open_sum = bigs[room - k + 1] - bigs[half + 1], summed[room - k + 1] - summed[half + 1]
+        small = summed[half + 1] - summed[k]
+        best = max(best, int(big + max(0, -(-(small - (open_n * room - open_sum)) // room))))
+    return best
 
-def evolve(counts: dict[int, int], room: int, immigrants: list[list[Group]], seed: int, people: int, generations: int) -> list[Group]:
-    """One island's best after some generations, which end early at a packing that can't be beaten."""
+
+def evolve(counts: dict[int, int], room: int, immigrants: list[list[Group]], seed: int, people: int, generations: int, work: int = 60_000) -> list[Group]:
+    """One island's best after some generations, which end early at a packing that can't be beaten.
+
+    work bounds the groups of bins that the children of all generations may have: large worlds get fewer generations.
+    """
     wild = random.Random(seed)
     slip = 0.02
     rank = lambda groups: score(groups, room)
     crowd = [best_fit(counts, room), *immigrants]
     goal = least_bins(counts, room)
     while len(crowd) < people and rank(min(crowd, key=rank))[0] > goal:
-        crowd.append(best_fit(counts, room, wild, slip))
-    for _ in range(generations):
+        crowd.append(tight_fit(counts, room, wild) if len(crowd) % 2 else best_fit(counts, room, wild, slip))
+    groups = sum(map(len, crowd)) // len(crowd)
+    for _ in range(max(2, min(generations, work // (groups * max(1, people // 2))))):
         crowd.sort(key=rank)
         if rank(crowd[0])[0] <= goal:
             break
@@ -244,7 +346,7 @@ def evolve(counts: dict[int, int], room: int, immigrants: list[list[Group]], see
     return min(crowd, key=rank)
 
 
-def plan(spark: SparkSession, counts: dict[int, int], room: int, islands: int = 6, people: int = 6, generations: int = 4, epochs: int = 3) -> list[Group]:
+def plan(spark: SparkSession, counts: dict[int, int], room: int, islands: int = 6, people: int = 10, generations: int = 60, epochs: int = 4) -> list[Group]:
     """The best packing that the islands find. After each epoch an island's elite moves on to the next one.
 
     An island's whole world is the number of items of each length: at most `room` numbers, however many items there
@@ -301,6 +403,7 @@ def pack(cut: DataFrame, room: int = 4096, rows_a_cell: int = 50_000, **islands)
     counts = {row[0]: row[1] for row in cut.groupBy("length").agg(F.count("*")).collect()}
     found = places(plan(spark, counts, room, **islands)) if counts else {}
     cells = max(64, sum(counts.values()) // rows_a_cell)
+    cut = cut.drop("sequence_id", "offset")
     celled = cut.withColumn("_cell", F.pmod(F.xxhash64("id", "piece", "crc"), F.lit(cells)))
     before = celled.groupBy("length", "_cell").agg(F.count("*").alias("_n")).select(
         F.col("length").alias("_l"), F.col("_cell").alias("_c"), (F.sum("_n").over(Window.partitionBy("length").orderBy("_cell")) - F.col("_n")).alias("_before")

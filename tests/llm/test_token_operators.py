@@ -102,7 +102,25 @@ def test_genetic_operators_keep_every_item():
 
 
 def test_evolution_beats_the_first_packing():
-    # 7 x (44 + 33 + 23): taking the longest that fits isn't best
-    counts = {44: 4, 36: 4, 33: 4, 31: 4, 23: 4, 30: 4, 3: 4}
-    first = packing.score(packing.best_fit(counts, 100), 100)
-    assert packing.score(packing.evolve(counts, 100, [], 1, 8, 30), 100) <= first
+    wild = random.Random(9)
+    for lengths, n, room in ((range(900, 2101), 600, 4096), (range(1200, 1501), 900, 4096), ((1900, 1700, 1500, 1100, 900, 700), 300, 4096)):
+        counts = dict(Counter(wild.choice(lengths) for _ in range(n)))
+        first = packing.best_fit(counts, room)
+        best = packing.evolve(counts, room, [], 1, 10, 60)
+        assert packing.least_bins(counts, room) <= packing.score(best, room)[0] < packing.score(first, room)[0]
+        held = Counter()
+        for bin_, times in best:
+            assert packing.filled(bin_) <= room
+            for length, many in bin_:
+                held[length] += many * times
+        assert held == counts
+
+
+def test_bounds_are_no_more_than_any_packing():
+    wild = random.Random(10)
+    for _ in range(60):
+        counts = dict(Counter(wild.randrange(1, 31) for _ in range(wild.randrange(1, 40))))
+        some = [packing.best_fit(counts, 30), packing.tight_fit(counts, 30, wild), packing.evolve(counts, 30, [], 2, 4, 10)]
+        assert packing.least_bins(counts, 30) <= min(packing.score(groups, 30)[0] for groups in some)
+    # three of any two items never meet, though their tokens would fit fewer bins
+    assert packing.least_bins({14: 30}, 40) == 15
