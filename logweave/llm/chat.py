@@ -99,11 +99,31 @@ def read_back(formatted: Column) -> Column:
     return F.transform(turns, lambda x: F.struct(unescape_role(F.substring_index(x, "\n", 1)).alias("role"), unescape(body(x)).alias("text")))
 
 
+def streamed(said: DataFrame) -> DataFrame:
+    """Chat events, as rebuild reads them, whose messages are the rows (conv_id, turn, role, text) in the order of turn, role and text.
+
+    Each row is a message with the first half of its text and a delta with the rest. After that, by its place: nothing
+    more, or an edit from a draft to the whole text, or a regeneration with the first half and a delta with the rest.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = said.withColumn("_k", F.row_number().over(order)).withColumn("_half", F.floor(F.char_length("text") / 2).cast("int"))
+    first, rest = F.substring("text", F.lit(1), F.col("_half")), F.substr("text", F.col("_half") + 1)
+    seq = F.col("_k").cast("long") * 4
+    kind = F.col("_k") % 3
+
+    def event(step: int, name: str, text: Column) -> Column:
+        target = F.lit(None) if name == "message" else seq
+        return F.struct((seq + step).alias("seq"), F.lit(name).alias("kind"), target.cast("long").alias("target"), F.when(F.lit(name == "message"), F.col("role")).alias("role"), text.alias("text"))
+
+    more = [F.when(kind == 1, event(2, "edit", F.col("text"))), F.when(kind == 2, event(2, "regenerate", first)), F.when(kind == 2, event(3, "delta", rest))]
+    return rows.select("conv_id", F.inline(F.array_compact(F.array(event(0, "message", first), event(1, "delta", F.when(kind == 1, F.lit(" draft")).otherwise(rest)), *more))))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"))
-    events = said.unionByName(extra).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("long").alias("target"), "role", "text")
+    events = streamed(said.unionByName(extra))
     done = render(rebuild(events))
     turns = F.transform(read_back(F.col("formatted")), lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
     loss = F.array_join(F.transform("loss_spans", lambda x: unescape(F.substring(F.col("formatted"), x["start"] + 1, x["length"]))), "")
