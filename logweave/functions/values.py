@@ -92,3 +92,24 @@ def json_bytes(text: Column) -> Column:
         return some.map(lambda x: None if x is None else approx_bytes(json.loads(x)))
 
     return measured(text)
+
+
+def cell_bytes(cell: Column) -> Column:
+    """approx_bytes of a cell that is JSON text: a string's length without quotes and escapes, 8 for all others."""
+    told = F.when(F.instr(cell, "\\") == 0, F.octet_length(cell) - 2).otherwise(F.octet_length(F.get_json_object(F.concat(F.lit("["), cell, F.lit("]")), "$[0]")))
+    return F.when(F.startswith(cell, F.lit('"')), told).otherwise(8).cast("long")
+
+
+def image_bytes(names: Column, cells: Column) -> Column:
+    """approx_bytes of a row image; a missing one is a null, 8."""
+    each = F.zip_with(column_names(names, F.size(cells)), cells, lambda n, c: F.octet_length(n) + F.coalesce(cell_bytes(c), F.lit(8)))
+    return F.coalesce(F.aggregate(each, F.lit(0).cast("long"), lambda total, x: total + x), F.lit(8).cast("long"))
+
+
+def row_bytes(op: Column, names: Column, before: Column, after: Column, mode: str = "full") -> Column:
+    """approx_bytes of the payload that envelopes.row_data makes, from its columns and without making it."""
+    size = F.octet_length(op) + len("op")
+    if mode == "signal":
+        return (size + len("signal") + 8).cast("long")
+    size += F.when(op.isin("update", "delete"), image_bytes(names, before) + len("before")).otherwise(0)
+    return (size + F.when(op.isin("insert", "update"), image_bytes(names, after) + len("after")).otherwise(0)).cast("long")

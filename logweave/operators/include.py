@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 import threading
 
 from pyspark.sql import Column, DataFrame
@@ -89,6 +92,26 @@ class IncludeList:
         return capturing and (only is None or subject in only)
 
 
+class ListFile:
+    """An include list in a JSON file, a list of subjects or null for all: read again whenever the file has changed.
+
+    Workers of a stream ask it where a transaction begins, so an edit counts from the next one on. The file lies in a
+    folder that they share; until it is there, the given subjects count.
+    """
+
+    def __init__(self, path: str, subjects: list[str] | None = None):
+        self.path, self.subjects, self.seen = path, subjects, None
+
+    def __call__(self) -> frozenset[str] | None:
+        if os.path.exists(self.path):
+            told = os.stat(self.path)
+            if (told.st_mtime_ns, told.st_size) != self.seen:
+                with open(self.path) as file:
+                    self.subjects = json.load(file)
+                self.seen = told.st_mtime_ns, told.st_size
+        return None if self.subjects is None else frozenset(self.subjects)
+
+
 def covers(open_: frozenset[str] | None, wanted: frozenset[str] | None) -> bool:
     """Whether a reader opened with one filter sees all that another wants."""
     return open_ is None or (wanted is not None and wanted <= open_)

@@ -42,6 +42,8 @@ class State:
     is_open: bool = False
     parts_sent: int = 0
     ddl: list[dict] = field(default_factory=list)
+    ddl_at: list[list[int]] = field(default_factory=list)
+    skips: bool = False
     rows: list[dict] = field(default_factory=list)
     size: int = 0
 
@@ -56,15 +58,21 @@ class State:
 class Assembler:
     """Takes events in log order and gives commits, or parts of long ones, as soon as they are complete."""
 
-    def __init__(self, state: State | None = None, include=None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, mode: str = "full"):
+    def __init__(self, state: State | None = None, include=None, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, mode: str = "full", done: str = ""):
+        """done: the set that was delivered before; its transactions are read over."""
         self.state = state or State()
+        self.done = positions.parse_set(done)
         self.include = include or (lambda: None)
         self.max_rows, self.max_bytes, self.mode = max_rows or MAX_ROWS, max_bytes or MAX_BYTES, mode
         self.warnings: list[str] = []
 
     def _clear(self) -> None:
         s = self.state
-        s.gtid, s.is_open, s.parts_sent, s.ddl, s.rows, s.size = None, False, 0, [], [], 0
+        s.gtid, s.is_open, s.parts_sent, s.ddl, s.ddl_at, s.rows, s.size, s.skips = None, False, 0, [], [], [], 0, False
+
+    def _is_done(self, gtid: str) -> bool:
+        uuid, _, number = gtid.rpartition(":")
+        return any(low <= int(number) <= high for low, high in self.done.get(uuid, ()))
 
     def _deliver(self, last: bool) -> dict:
         s = self.state
@@ -72,11 +80,11 @@ class Assembler:
         after = ""
         if last:
             s.executed = after = positions.set_after(s.executed, s.gtid)
-        out = {"gtid": s.gtid, "gtid_set_after": after, "ddl": s.ddl, "rows": s.rows, "part": part}
+        out = {"gtid": s.gtid, "gtid_set_after": after, "ddl": s.ddl, "ddl_at": s.ddl_at, "rows": s.rows, "part": part}
         if last:
             self._clear()
         else:
-            s.parts_sent, s.ddl, s.rows, s.size = s.parts_sent + 1, [], [], 0
+            s.parts_sent, s.ddl, s.ddl_at, s.rows, s.size = s.parts_sent + 1, [], [], [], 0
         return out
 
     def push(self, event: dict) -> list[dict]:
@@ -84,16 +92,19 @@ class Assembler:
         if kind == "payload":
             if not event.get("payload"):
                 raise LogError("a compressed payload holds no events")
-            return [commit for inner in event["payload"] for commit in self.push(inner | {"pos": event["pos"]})]
+            return [commit for k, inner in enumerate(event["payload"]) for commit in self.push(inner | {"pos": event["pos"], "inner_pos": k})]
         if kind == "gtid":
             if s.gtid is not None:
                 self.warnings.append(f"{s.gtid} never ended and is dropped")
             self._clear()
             s.gtid = event["gtid"]
+            s.skips = bool(self.done) and self._is_done(s.gtid)
             only = self.include()
             s.only = None if only is None else sorted(only)
         elif kind == "table_map":
             s.maps[str(event["table_id"])] = [event["database"], event["table"], list(event.get("columns") or ())]
+        elif s.skips:
+            return []
         elif kind == "rows":
             return self._row(event)
         elif kind == "xid":
@@ -125,7 +136,7 @@ class Assembler:
                     cells = event.get(name) or []
                     names = [told[2][k] if k < len(told[2]) and told[2][k] is not None else f"col_{k}" for k in range(len(cells))]
                     data[name] = {n: json.loads(c) if c is not None else None for n, c in zip(names, cells, strict=True)}
-        s.rows.append({"subject": subject, "op": event["op"], "pos": event["pos"], "data": data})
+        s.rows.append({"subject": subject, "op": event["op"], "pos": event["pos"], "inner_pos": event.get("inner_pos") or 0, "data": data})
         s.size += approx_bytes(data)
         return out
 
@@ -142,6 +153,7 @@ class Assembler:
             if s.gtid is None:
                 raise LogError("a schema statement without a transaction")
             s.ddl.append({"schema": event.get("schema_name") or "", "query": event["query"]})
+            s.ddl_at.append([event["pos"], event.get("inner_pos") or 0])
             if not s.is_open:
                 if OPENS.search(event["query"]):
                     s.is_open = True

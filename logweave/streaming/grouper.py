@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from logweave.functions.values import approx_bytes
@@ -50,6 +51,17 @@ class Grouper:
         self.max_rows, self.max_bytes = max_rows or MAX_ROWS, max_bytes or MAX_BYTES
         self.open: dict | None = None
 
+    def dumps(self) -> str:
+        held = self.open and self.open | {"only": None if self.open["only"] is None else sorted(self.open["only"])}
+        return json.dumps({"open": held, "last_token": self.last_token})
+
+    def restore(self, text: str) -> Grouper:
+        told = json.loads(text)
+        self.open, self.last_token = told["open"], told["last_token"]
+        if self.open and self.open["only"] is not None:
+            self.open["only"] = frozenset(self.open["only"])
+        return self
+
     def _place(self, token, time: dict | None) -> dict:
         out: dict = {"resume_token": token} | ({"cluster_time": time} if time else {})
         return out | ({"seed_cluster_time": self.seed_time} if self.seed_time else {})

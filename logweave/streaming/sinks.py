@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import base64
 import json
+import http.client
 import os
 import sys
-import urllib.error
-import urllib.request
 from collections.abc import Callable
 from pathlib import Path
 from typing import Protocol
+from urllib.parse import urlsplit
 
 from logweave.functions import avro
 
@@ -63,20 +63,36 @@ class StdoutSink:
 
 
 class HttpSink:
+    """Posts to an address, one request after another over one connection, which is opened anew once it was closed."""
+
     def __init__(self, url: str, form: str = "json", headers: dict[str, str] | None = None, timeout: float = 30):
         if not url.startswith(("http://", "https://")):
             raise SinkError(f"{url!r} is neither http nor https")
         self.url, self.form, self.headers, self.timeout = url, form, dict(headers or {}), timeout
+        self.held: http.client.HTTPConnection | None = None
 
     def _post(self, body: bytes, headers: dict[str, str]) -> None:
-        request = urllib.request.Request(self.url, body, headers | self.headers, method="POST")
+        place = urlsplit(self.url)
+        kept = self.held is not None
         try:
-            urllib.request.urlopen(request, timeout=self.timeout).close()
-        except urllib.error.HTTPError as error:
-            told = error.read()[:200].decode("utf-8", "replace")
-            raise SinkError(f"{self.url} answered {error.code}: {told}") from None
-        except OSError as error:
+            if self.held is None:
+                kind = http.client.HTTPSConnection if place.scheme == "https" else http.client.HTTPConnection
+                self.held = kind(place.netloc, timeout=self.timeout)
+            self.held.request("POST", (place.path or "/") + (f"?{place.query}" if place.query else ""), body, headers | self.headers)
+            answer = self.held.getresponse()
+            told = answer.read()
+        except (OSError, http.client.HTTPException) as error:
+            self.close()
+            if kept and isinstance(error, (http.client.RemoteDisconnected, ConnectionError)):
+                return self._post(body, headers)  # the other side had closed the connection meanwhile
             raise SinkError(f"{self.url}: {error}") from None
+        if not 200 <= answer.status < 300:
+            raise SinkError(f"{self.url} answered {answer.status}: {told[:200].decode('utf-8', 'replace')}")
+
+    def close(self) -> None:
+        if self.held is not None:
+            self.held.close()
+            self.held = None
 
     def emit(self, event: dict) -> None:
         if self.form == "json":
@@ -120,9 +136,23 @@ class CheckpointStore:
 
 
 def with_gtid(checkpoint: dict | None, gtid_set: str, adapter: str = "mysql") -> dict:
-    """The checkpoint with another set; what else it holds for this adapter stays."""
-    held = (checkpoint or {}).get("payload") if (checkpoint or {}).get("adapter") == adapter else None
-    return {"adapter": adapter, "payload": {**(held or {}), "gtid": gtid_set}}
+    """The checkpoint with another set, joined to the one that it has; what else it holds for this adapter stays."""
+    from logweave.operators.positions import union
+
+    held = ((checkpoint or {}).get("payload") if (checkpoint or {}).get("adapter") == adapter else None) or {}
+    return {"adapter": adapter, "payload": {**held, "gtid": union(held["gtid"], gtid_set) if held.get("gtid") else gtid_set}}
+
+
+def with_baseline(checkpoint: dict | None, executed: str, adapter: str = "mysql") -> dict:
+    """The checkpoint of a first connect: the set that the server had then. One that is there already stays."""
+    held = ((checkpoint or {}).get("payload") if (checkpoint or {}).get("adapter") == adapter else None) or {}
+    return {"adapter": adapter, "payload": {"baseline_gtid": executed, **held}}
+
+
+def with_place(checkpoint: dict | None, place: dict) -> dict:
+    """The checkpoint of a document stream at another place; a seed's time stays."""
+    held = ((checkpoint or {}).get("payload") if (checkpoint or {}).get("adapter") == "mongo" else None) or {}
+    return {"adapter": "mongo", "payload": {**({"seed_cluster_time": held["seed_cluster_time"]} if held.get("seed_cluster_time") else {}), **place}}
 
 
 def start_position(checkpoint: dict | None, purged: str = "", adapter: str = "mysql") -> str | None:

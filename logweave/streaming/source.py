@@ -12,6 +12,14 @@ SCHEMA = (
     "columns array<string>, op string, before array<string>, after array<string>"
 )
 NAMES = [part.strip().split(" ")[0] for part in SCHEMA.split(", ")]
+#: The events inside a compressed payload: as they are, without a place of their own.
+INNER = [(name, kind) for name, kind in (part.strip().split(" ", 1) for part in SCHEMA.split(", ")) if name not in ("source_id", "pos", "inner_pos")]
+SCHEMA += ", payload array<struct<" + ", ".join(f"{name}: {kind}" for name, kind in INNER) + ">>"
+CHANGES = (
+    "source_id string, pos long, op string, database string, collection string, to_database string, to_collection string, document_key string, full_document string, txn_key string, "
+    "resume_token string, t long, i long"
+)
+CHANGE_NAMES = [part.strip().split(" ")[0] for part in CHANGES.split(", ")]
 
 
 class HistoryLost(Exception):
@@ -55,7 +63,12 @@ class _Reader(SimpleDataSourceStreamReader):
                 yield at, file.tell(), json.loads(text)
 
     def _rows(self, events) -> list[tuple]:
-        return [tuple(event.get(name) for name in NAMES) for event in events]
+        inside = lambda told: [tuple(event.get(name) for name, _ in INNER) for event in told] if told is not None else None
+        return [(*(event.get(name) for name in NAMES), inside(event.get("payload"))) for event in events]
+
+    def _begins(self, event: dict, before: dict) -> bool:
+        """Whether a batch may end before this event."""
+        return event["kind"] == "gtid"
 
     def read(self, start: dict):
         if start["line"] > (self.path.stat().st_size if self.path.exists() else 0):
@@ -66,7 +79,7 @@ class _Reader(SimpleDataSourceStreamReader):
                 if event["pos"] < self.start:
                     end = {"line": after, "pos": event["pos"]}
                     continue
-                if event["kind"] == "gtid" and held:
+                if held and self._begins(event, held[-1]):
                     cut = (len(held), end)
                 if held and (len(held) >= self.max_events or size + after - at > self.max_bytes):
                     break
@@ -84,3 +97,42 @@ class _Reader(SimpleDataSourceStreamReader):
 
     def commit(self, end: dict) -> None:
         pass
+
+
+class RecordedChanges(DataSource):
+    """format("recorded_changes"): a recorded stream of document changes, options as for recorded_log.
+
+    Changes have resume_token and cluster_time {t, i}. after and at, both JSON text, start after a resume token or at a
+    cluster time, as a change stream does; a token that the log doesn't hold any more ends the stream.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "recorded_changes"
+
+    def schema(self) -> str:
+        return CHANGES
+
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return _ChangeReader(self.options)
+
+
+class _ChangeReader(_Reader):
+    def __init__(self, options) -> None:
+        super().__init__(options)
+        after, at = (json.loads(options[name]) if options.get(name) else None for name in ("after", "at"))
+        if after is not None and self.path.exists():
+            found = [event["pos"] for _, _, event in self._lines(0) if event["resume_token"] == after]
+            if not found:
+                raise HistoryLost(f"{self.path} doesn't hold the change {after!r} any more")
+            self.start = found[-1] + 1
+        elif at is not None and self.path.exists():
+            times = ((event["pos"], event.get("cluster_time") or {}) for _, _, event in self._lines(0))
+            self.start = next((pos for pos, time in times if (time.get("t", 0), time.get("i", 0)) >= (at["t"], at["i"])), self.start)
+
+    def _rows(self, events) -> list[tuple]:
+        flat = ({**event, **(event.get("cluster_time") or {})} for event in events)
+        return [tuple(event.get(name) for name in CHANGE_NAMES) for event in flat]
+
+    def _begins(self, event: dict, before: dict) -> bool:
+        return event.get("txn_key") is None or event["txn_key"] != before.get("txn_key")

@@ -16,6 +16,8 @@ class MockSink:
         outer = self
 
         class Handler(BaseHTTPRequestHandler):
+            protocol_version = "HTTP/1.1"
+
             def do_POST(self):
                 body = self.rfile.read(int(self.headers["Content-Length"]))
                 if self.path == "/reset":

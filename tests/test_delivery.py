@@ -12,7 +12,7 @@ from logweave.functions import avro
 from logweave.operators.envelopes import FIELDS
 from logweave.streaming import capture as c
 from logweave.streaming import sinks
-from logweave.streaming.source import HistoryLost, RecordedLog, _Reader
+from logweave.streaming.source import HistoryLost, RecordedLog, _ChangeReader, _Reader
 from mock_sink import MockSink
 
 EVENT = {"specversion": "1.0", "id": "1", "type": "t", "source": "s", "subject": "d.t", "time": "2024-01-01T00:00:00.000Z", "extensions_json": '{"gtid":"u:1"}', "data_json": '{"op":"insert","after":{"é":1}}'}
@@ -182,3 +182,99 @@ def test_mock_sink_counts_from_several_threads():
         some = [threading.Thread(target=sinks.HttpSink(mock.url).emit, args=(EVENT,)) for _ in range(8)]
         [t.start() for t in some], [t.join() for t in some]
         assert len(mock.received) == 8
+
+
+def test_compressed_payloads_through_the_reader(spark, tmp_path):
+    path, plain = tmp_path / "log.jsonl", tmp_path / "plain.jsonl"
+    inner = [{"kind": "query", "schema_name": "d", "query": "BEGIN"}, {"kind": "table_map", "table_id": 1, "database": "d", "table": "t", "columns": ["a"]}]
+    inner += [{"kind": "rows", "table_id": 1, "op": "insert", "after": [str(i)]} for i in range(3)] + [{"kind": "xid"}]
+    events = [{"kind": "gtid", "gtid": "u:1", "uuid": "u", "gno": 1}, {"kind": "payload", "payload": inner}]
+    path.write_text("".join(json.dumps({"source_id": "s", "pos": k, "inner_pos": 0} | e) + "\n" for k, e in enumerate(events)))
+    seen, store = [], sinks.CheckpointStore(tmp_path / "own.json")
+    run_capture(spark, path, c.Delivery(sinks.CallbackSink(seen.append), store), tmp_path / "stream")
+    assert [json.loads(e["data_json"])["after"]["a"] for e in seen] == [0, 1, 2] and store.load()["payload"]["gtid"] == "u:1-1"
+    # the batch operators give the same ids
+    from logweave.operators import assemble, envelopes
+
+    spark.dataSource.register(RecordedLog)
+    plain.write_text(path.read_text())
+    rows = list(_Reader({"path": str(plain)}).read({"line": 0, "pos": 0})[0])
+    from logweave.streaming.source import SCHEMA
+
+    log = assemble.marked(assemble.unpack(spark.createDataFrame(rows, SCHEMA)))
+    done = envelopes.row_events(assemble.committed_rows(log, assemble.endings(log)), F.current_timestamp()).orderBy("inner_pos")
+    assert [r["id"] for r in done.select("event.id").collect()] == [e["id"] for e in seen]
+
+
+def test_a_new_stream_goes_on_from_the_own_checkpoint(spark, tmp_path):
+    path, store = tmp_path / "log.jsonl", sinks.CheckpointStore(tmp_path / "own.json")
+    path.write_text(log_lines(4, rows=1))
+    store.save({"adapter": "mysql", "payload": {"baseline_gtid": "v:1-3", "gtid": "u:1-2"}})
+    seen = []
+    run_capture(spark, path, c.Delivery(sinks.CallbackSink(seen.append), store), tmp_path / "stream")
+    assert [json.loads(e["extensions_json"])["gtid"] for e in seen] == ["u:3", "u:4"]
+    assert store.load()["payload"] == {"baseline_gtid": "v:1-3", "gtid": "u:1-4,v:1-3"}
+
+
+def options(tmp_path, adapter="mysql", url="http://127.0.0.1:1", **source):
+    from logweave import options as o
+
+    known = {"mysql": {"host": "h", "port": 1, "user": "u", "server_id": 1}, "mongo": {"uri": "m", "database": "d"}}[adapter]
+    return o.from_tables({"source": {"adapter": adapter, "source_id": "s", "include_tables": ["d.t"], **known, **source}, "checkpoint": {"path": str(tmp_path / "own.json")}, "sink": {"kind": "http", "url": url}})
+
+
+def test_a_capture_from_its_options_with_a_live_list(spark, tmp_path):
+    path, listed = tmp_path / "log.jsonl", tmp_path / "list.json"
+    path.write_text(log_lines(2, rows=2))
+    with MockSink() as mock:
+        told = options(tmp_path, url=mock.url, payload_mode="signal")
+        query = c.run(spark, told, str(path), str(tmp_path / "stream"), str(listed), executed="w:1-9")
+        query.processAllAvailable()
+        assert len(mock.received) == 4 and json.loads(mock.received[0][1])["data"] == {"op": "insert", "signal": True}
+        listed.write_text('["d.other"]')
+        with path.open("a") as file:
+            file.write("".join(json.dumps(json.loads(line) | {"pos": 100 + k} | ({"gtid": "u:3"} if k == 0 else {})) + "\n" for k, line in enumerate(log_lines(1).splitlines())))
+        query.processAllAvailable()
+        query.stop()
+        assert len(mock.received) == 4
+    assert sinks.CheckpointStore(tmp_path / "own.json").load()["payload"] == {"baseline_gtid": "w:1-9", "gtid": "u:1-3,w:1-9"}
+
+
+def change(k, op="insert", **more):
+    return {"source_id": "s", "pos": k, "op": op, "database": "d", "collection": "t", "document_key": json.dumps({"_id": k}), "full_document": json.dumps({"_id": k, "é": [k]}), "resume_token": f"82{k:08x}{k:08x}", "cluster_time": {"t": k, "i": k}} | more
+
+
+def test_document_capture_resumes_and_stops_on_control(spark, tmp_path):
+    path, store = tmp_path / "changes.jsonl", sinks.CheckpointStore(tmp_path / "own.json")
+    some = [change(1), change(2, txn_key="x:1"), change(3, "delete", txn_key="x:1"), change(4, collection="unlisted"), change(5, "replace")]
+    path.write_text("".join(json.dumps(e) + "\n" for e in some))
+    with MockSink() as mock:
+        told = options(tmp_path, "mongo", mock.url, delivery_unit="transaction")
+        query = c.run(spark, told, str(path), str(tmp_path / "one"))
+        query.processAllAvailable()
+        query.stop()
+        commits = [json.loads(body) for _, body in mock.received]
+        assert [len(x["events"]) for x in commits] == [1, 2, 0, 1] and store.load()["payload"]["resume_token"] == "820000000500000005"
+        assert commits[1]["position"]["at"]["cluster_time"] == {"t": 2, "i": 2} and json.loads(json.dumps(commits[3]["events"][0]["data"])) == {"op": "update", "after": {"_id": 5, "é": [5]}}
+        with path.open("a") as file:
+            file.write("".join(json.dumps(e) + "\n" for e in [change(6), change(7, "drop"), change(8)]))
+        query = c.run(spark, told, str(path), str(tmp_path / "two"))  # without Spark's own checkpoint
+        with pytest.raises(Exception, match="control event"):
+            query.processAllAvailable()
+        commits = [json.loads(body) for _, body in mock.received][4:]
+        assert [len(x["events"]) for x in commits] == [1, 0] and commits[1]["control"][0]["kind"] == "dropped"
+        assert store.load()["payload"]["resume_token"] == "820000000700000007"
+    path.write_text(json.dumps(change(9)) + "\n")
+    with pytest.raises(HistoryLost):
+        _ChangeReader({"path": str(path), "after": json.dumps("820000000700000007")})
+    store.save({"adapter": "mongo", "payload": {"seed_cluster_time": {"t": 9, "i": 0}}})
+    assert _ChangeReader({"path": str(path), "at": json.dumps({"t": 9, "i": 0})}).start == 9
+
+
+def test_a_kept_connection_that_was_closed_is_opened_again():
+    with MockSink() as mock:
+        sink = sinks.HttpSink(mock.url)
+        sink.emit(EVENT)
+        sink.held.sock.shutdown(2)
+        sink.emit(EVENT)
+        assert len(mock.received) == 2
