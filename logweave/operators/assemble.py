@@ -17,6 +17,17 @@ from logweave.operators.ordered import WIDTH, carry_last
 TXN = ["source_id", "txn_start"]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df, written to the folder that spark.checkpoint.dir names, as several branches read it; as it is without such a folder."""
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            return df
+        spark.sparkContext.setCheckpointDir(shared)
+    return df.checkpoint(eager=True)
+
+
 def _at():
     return F.struct("pos", "inner_pos")
 
@@ -89,11 +100,15 @@ def commits(log: DataFrame, only: frozenset[str] | None = None, versions: DataFr
     only: the subjects whose rows count (None: all); versions: instead of it, the list's versions, pinned where each
     transaction began. Schema statements are never filtered.
     """
+    log = written(marked(log, width))
+    ends = endings(log)
+    return commits_of(log, ends, committed_rows(log, ends, width), only, versions)
+
+
+def commits_of(log: DataFrame, ends: DataFrame, rows: DataFrame, only: frozenset[str] | None = None, versions: DataFrame | None = None) -> DataFrame:
+    """As commits, of a marked log whose endings and committed rows are there already."""
     from logweave.operators.include import allows, pinned
 
-    log = marked(log, width)
-    ends = endings(log)
-    rows = committed_rows(log, ends, width)
     rows = pinned(rows, versions).where("included") if versions is not None else rows.where(allows(F.col("subject"), only))
     events = rows.select(*TXN, F.lit(1).alias("row"), F.lit(0).alias("ddl")).unionByName(committed_ddl(log, ends).select(*TXN, F.lit(0).alias("row"), F.lit(1).alias("ddl")))
     counts = events.groupBy(*TXN).agg(F.sum("row").alias("n_rows"), F.sum("ddl").alias("n_ddl"))

@@ -104,6 +104,12 @@ def set_text(spans: DataFrame, uuid: str = "uuid") -> DataFrame:
     return spans.groupBy(uuid).agg(F.concat(F.col(uuid), F.lit(":"), F.array_join(one, ":")).alias("text"))
 
 
+def legacy_spans(spans: DataFrame, uuid: str = "uuid") -> DataFrame:
+    """(uuid, lo, hi) of a checkpoint of old, without a baseline: all up to its largest number, of the uuid that has it."""
+    top = spans.groupBy(uuid).agg(F.max("hi").alias("hi"))
+    return top.agg(F.max_by(F.struct(uuid, F.lit(1).cast("long").alias("lo"), "hi"), F.struct("hi", uuid)).alias("_top")).where("_top is not null").select("_top.*")
+
+
 def position_struct(adapter: Column, at: Column, after: Column) -> Column:
     return F.struct(adapter.alias("adapter"), at.alias("at_json"), after.alias("after_json"))
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions import statements
-from logweave.functions.values import epoch_millis, json_bytes, token_time
-from logweave.operators import assemble, documents, envelopes, gates, ordered, parts, positions
+from logweave.functions.avro import encoded_events
+from logweave.functions.values import cell_json, epoch_millis, row_bytes, token_time
+from logweave.operators import assemble, documents, envelopes, gates, include, ordered, parts, positions
 from logweave.plans.sql import ORACLES
 from logweave.sources import derived
 
@@ -20,7 +21,7 @@ NOW_MS = 1_706_745_600_000
 
 
 def _done(spark: SparkSession, sf_dir: str):
-    log = assemble.marked(derived.order_log(spark, sf_dir))
+    log = assemble.written(assemble.marked(derived.order_log(spark, sf_dir)))
     ends = assemble.endings(log)
     return log, ends, assemble.committed_rows(log, ends)
 
@@ -133,22 +134,22 @@ def parts_by_rows(spark, sf_dir):
 
 def parts_by_bytes(spark, sf_dir):
     _, _, rows = _done(spark, sf_dir)
-    image = F.coalesce("after", "before")
-    sized = rows.withColumn("size", F.get(image, F.lit(0)).cast("long") % 40 + 1)
-    cut = parts.by_size(sized, [*KEYS, "gno"], ORDER, "size", 4, 60)
+    sized = rows.withColumn("size", row_bytes(F.col("op"), F.col("columns"), F.col("before"), F.col("after")))
+    cut = parts.by_size(sized, [*KEYS, "gno"], ORDER, "size", 4, 300)
     return cut.groupBy("gno", "part", "n_parts").agg(F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes"))
 
 
 def part_rules(spark, sf_dir):
-    """Of parts but the last, the set after is empty; schema statements go with the first."""
+    """Only the last part has a set after it, told by its last interval and how many there are; schema statements go with the first."""
     log, ends, rows = _done(spark, sf_dir)
     cut = parts.by_rows(rows, [*KEYS, "gno"], ORDER, 2).groupBy(*KEYS, "part", "n_parts").agg(F.count("*").alias("n_rows"))
-    done = assemble.commits(derived.order_log(spark, sf_dir)).select(*KEYS, "gno", "n_ddl", "gtid")
+    done = positions.running_sets(assemble.commits_of(log, ends, rows), ["uuid"], "txn_start").select(*KEYS, "gno", "n_ddl", "n_intervals", "lo", "hi")
     both = parts.part_columns(done.join(cut, KEYS, "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1))).withColumn("part", F.coalesce("part", F.lit(1))))
     last = F.coalesce("part_last", F.lit(True))
     return both.select(
-        "gno", "part_number", "part_last", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(last, F.col("gtid")).otherwise("").alias("position"), F.when(F.col("part") == 1, F.col("n_ddl")).otherwise(0).alias("n_ddl")
-    )
+        "gno", "part_number", "part_last", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(F.col("part") == 1, F.col("n_ddl")).otherwise(0).alias("n_ddl"),
+        *[F.when(last, F.col(c)).alias(f"after_{c}") for c in ("n_intervals", "lo", "hi")],
+    )
 
 
 def row_fanout(spark, sf_dir):
@@ -160,17 +161,17 @@ def row_fanout(spark, sf_dir):
 
 def envelope_size(spark, sf_dir):
     _, _, rows = _done(spark, sf_dir)
-    made = envelopes.row_events(rows, F.timestamp_millis(F.lit(NOW_MS)))
-    return made.withColumn("size", json_bytes(F.col("event.data_json"))).groupBy("gno").agg(F.sum("size").alias("n_bytes"), F.count("*").alias("n_events"))
+    size = row_bytes(F.col("op"), F.col("columns"), F.col("before"), F.col("after"))
+    return rows.withColumn("size", size).groupBy("gno").agg(F.sum("size").alias("n_bytes"), F.count("*").alias("n_events"))
 
 
 def full_envelopes(spark, sf_dir):
     log, ends, rows = _done(spark, sf_dir)
     time = F.timestamp_millis(F.lit(NOW_MS))
-    done = assemble.commits(derived.order_log(spark, sf_dir)).select(*KEYS, "gno")
+    done = positions.running_sets(assemble.commits_of(log, ends, rows), ["uuid"], "txn_start").select(*KEYS, "gno", "n_intervals", "lo", "hi")
     made = envelopes.envelopes(done, assemble.committed_ddl(log, ends), envelopes.row_events(rows, time), KEYS)
     return made.select(
-        "gno", F.size("ddl").cast("long").alias("n_ddl"), F.size("events").cast("long").alias("n_events"),
+        "gno", "n_intervals", "lo", "hi", F.size("ddl").cast("long").alias("n_ddl"), F.size("events").cast("long").alias("n_events"),
         F.array_join(F.transform("ddl", lambda x: x["query"]), ";").alias("queries"), F.array_join(F.transform("events", lambda x: x["subject"]), ",").alias("subjects"),
     )
 
@@ -236,10 +237,79 @@ def health_samples(spark, sf_dir):
     return counted.where("n = 1 or n % 100 = 0").select("n", "gno", "subject")
 
 
+def typed_cells(spark, sf_dir):
+    """Cells of each kind of column as JSON text, from values that the events' ids give."""
+    e = F.col("event_id")
+    cells = {
+        "longlong": e, "year": 1970 + e % 100, "bit": e % 2, "string": F.when(e % 7 != 0, F.concat(F.col("event_type"), F.lit('"\\\n'))),
+        "blob": F.when(e % 3 == 0, F.unhex(F.concat(F.lit("ff"), F.lpad(F.hex(e % 256), 2, "0")))).otherwise(F.encode("event_type", "UTF-8")),
+        "decimal": (e / 4).cast("decimal(14,2)"), "date": F.date_add(F.lit("2024-01-01").cast("date"), (e % 500).cast("int")), "timestamp": F.timestamp_micros(e * 1_000_003),
+    }
+    return derived.table(spark, sf_dir, "events").select("event_id", *[cell_json(value, kind).alias(f"as_{kind}") for kind, value in cells.items()])
+
+
+def txn_keys(spark, sf_dir):
+    e = F.col("event_id")
+    told = derived.table(spark, sf_dir, "events").select("event_id", F.when(e % 5 != 0, F.concat(F.lit("s"), F.col("user_id").cast("string"))).alias("session_id"), F.when(e % 3 != 0, e).alias("txn_number"))
+    return told.select("event_id", documents.transaction_key().alias("txn_key"))
+
+
+def control_events(spark, sf_dir):
+    done = documents.effects(derived.document_log(spark, sf_dir)).where("effect = 'control'")
+    event = envelopes.control_event(F.col("control"), F.col("source_id"), envelopes.event_id(F.col("source_id"), F.col("pos")), F.timestamp_millis(F.lit(NOW_MS)))
+    return done.select("pos", event.alias("event")).select("pos", *[F.col("event")[f].alias(f) for f in ("id", "type", "subject", "time", "data_json")])
+
+
+def doc_boundaries(spark, sf_dir):
+    """Runs of a log with empty batches, half of them with a token that moved."""
+    log = derived.document_log(spark, sf_dir)
+    e = F.col("pos")
+    empty = log.where(e % 40 == 0).select(
+        "source_id", (e * 2 + 1).alias("pos"), F.lit("boundary").alias("op"), F.lit("app").alias("database"), F.when(e % 80 == 0, F.col("resume_token")).otherwise(F.concat("resume_token", F.lit("ff"))).alias("resume_token")
+    )
+    both = log.withColumn("pos", e * 2).unionByName(empty, allowMissingColumns=True)
+    return documents.commits(documents.effects(both, only=DOCS)).select("run_start", "run_end", "n_rows", "n_controls", "stop")
+
+
+def gtid_legacy(spark, sf_dir):
+    """What a checkpoint without a baseline is taken for, with what the server has purged."""
+    purged = spark.createDataFrame([(derived.UUID, 1, 25), ("other", 5, 5)], "uuid string, lo long, hi long")
+    held = positions.legacy_spans(gtid_islands(spark, sf_dir))
+    return positions.set_text(positions.union_rows(held.unionByName(purged), ["uuid"])).select("uuid", "text")
+
+
+def derived_positions(spark, sf_dir):
+    """Positions of commits: their own, or what their id and the last interval of the set after them say."""
+    done = positions.running_sets(assemble.commits(derived.order_log(spark, sf_dir)), ["uuid"], "txn_start")
+    own = F.when(F.col("gno") % 5 == 0, positions.position_struct(F.lit("mongo"), F.lit('{"a":1}'), F.lit("{}")))
+    after = F.concat_ws("", "uuid", F.lit(":"), "lo", F.lit("-"), "hi")
+    return done.select("gno", positions.derived_position(own, F.col("gtid"), after).alias("p")).select("gno", "p.adapter", "p.at_json", "p.after_json")
+
+
+def avro_events(spark, sf_dir):
+    """Row events as Avro datums, in hex."""
+    _, _, rows = _done(spark, sf_dir)
+    made = envelopes.row_events(rows, F.timestamp_millis(F.lit(NOW_MS)), "signal")
+    return made.select("pos", F.lower(F.hex(encoded_events(F.col("event")))).alias("datum"))
+
+
+def database_scope(spark, sf_dir):
+    subject = F.concat(F.when(F.col("o_orderkey") % 3 == 0, "shopping").when(F.col("o_orderkey") % 3 == 1, "shop").otherwise("other"), F.lit(".items"))
+    return derived.table(spark, sf_dir, "orders").select(subject.alias("subject")).select("subject", include.in_database(F.col("subject"), "shop").alias("inside")).groupBy("subject", "inside").agg(F.count("*").alias("n"))
+
+
+def pushed_changes(spark, sf_dir):
+    """What a reader's own filter lets through: listed collections, ends of a stream, and the change to resume after."""
+    log = derived.document_log(spark, sf_dir)
+    told = log.where("pos = 97 * 3").select("resume_token").first()  # a parameter of the reader
+    kept = include.pushed(F.col("collection"), F.col("op"), F.col("resume_token"), DOCS, "app", told[0] if told else None)
+    return log.where(kept).groupBy("op").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+
+
 NAMES = (
     commit_envelopes, commit_shapes, empty_commits, include_filtered, include_asof, ddl_classify, row_event_json, table_map_asof, payload_unpack, log_violations, gtid_islands, gtid_set_after, gtid_union,
     gtid_handshake, parts_by_rows, parts_by_bytes, part_rules, row_fanout, envelope_size, full_envelopes, doc_effects, doc_effects_signal, doc_runs, doc_positions, doc_parts, control_stop, token_times,
-    seed_and_tail, gate_report, lag_metrics, health_samples,
+    seed_and_tail, gate_report, lag_metrics, health_samples, typed_cells, txn_keys, control_events, doc_boundaries, gtid_legacy, derived_positions, avro_events, database_scope, pushed_changes,
 )
 
 

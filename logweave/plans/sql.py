@@ -68,6 +68,14 @@ def _docs(mode: str = "full", listed: bool = True) -> str:
 LISTED = "subject IN ('shop.items', 'shop.lines')"
 PLACE = """'{"resume_token":"' || {f}(token, pos) || '","cluster_time":{"t":' || {f}(t, pos) || ',"i":' || {f}(e, pos) || '}}'"""
 
+
+
+def _avro(text: str) -> str:
+    """A string of under 8,192 bytes as Avro writes it, in hex."""
+    n = f"2 * length({text})"
+    return f"CASE WHEN {n} < 128 THEN printf('%02x', {n}) ELSE printf('%02x%02x', {n} % 128 + 128, {n} // 128) END || lower(hex(encode({text})))"
+
+
 ORACLES = {
     "commit_envelopes": f"""WITH {BASE}
 SELECT d.gno, count(c.k) AS n_rows, any_value(n_ddl) AS n_ddl, any_value(ended_by) AS ended_by
@@ -149,12 +157,13 @@ SELECT '{UUID}' AS uuid, '{UUID}:' || string_agg(lo || '-' || hi, ':' ORDER BY l
 )
 SELECT gno, part::INT AS part, n_rows, CASE WHEN n_parts > 1 THEN part::INT END AS part_number, CASE WHEN n_parts > 1 THEN part = n_parts END AS part_last FROM y""",
     "parts_by_bytes": f"""WITH RECURSIVE {BASE}, w AS (
-  SELECT gno, rn, p % 40 + 1 AS size FROM c
+  SELECT gno, rn, (2 + length(op) + CASE WHEN op <> 'insert' THEN 6 + image + 4 ELSE 0 END + CASE WHEN op <> 'delete' THEN 5 + image + length(q) ELSE 0 END)::BIGINT AS size
+  FROM (SELECT *, CASE WHEN subject = 'shop.returns' THEN 20 ELSE 15 END + 24 AS image FROM c)
 ), f AS (
   SELECT gno, rn, 1 AS part, 1 AS r, size AS b, size FROM w WHERE rn = 1
   UNION ALL
-  SELECT w.gno, w.rn, CASE WHEN f.r >= 4 OR f.b >= 60 THEN f.part + 1 ELSE f.part END, CASE WHEN f.r >= 4 OR f.b >= 60 THEN 1 ELSE f.r + 1 END,
-         CASE WHEN f.r >= 4 OR f.b >= 60 THEN w.size ELSE f.b + w.size END, w.size
+  SELECT w.gno, w.rn, CASE WHEN f.r >= 4 OR f.b >= 300 THEN f.part + 1 ELSE f.part END, CASE WHEN f.r >= 4 OR f.b >= 300 THEN 1 ELSE f.r + 1 END,
+         CASE WHEN f.r >= 4 OR f.b >= 300 THEN w.size ELSE f.b + w.size END, w.size
   FROM f JOIN w ON w.gno = f.gno AND w.rn = f.rn + 1
 ), g AS (
   SELECT gno, part, count(*) AS n_rows, sum(size)::BIGINT AS n_bytes FROM f GROUP BY gno, part
@@ -164,10 +173,13 @@ SELECT gno, part, max(part) OVER (PARTITION BY gno) AS n_parts, n_rows, n_bytes
   SELECT d.gno, d.n_ddl, d.k, count(c.k) AS total FROM done d LEFT JOIN c USING (k) GROUP BY ALL
 ), y AS (
   SELECT gno, n_ddl, total, greatest((total + 1) // 2, 1) AS n_parts, unnest(range(1, greatest((total + 1) // 2, 1) + 1)) AS part FROM x
+), s AS (
+  SELECT gno, dense_rank() OVER (ORDER BY g)::BIGINT AS n_intervals, min(gno) OVER (PARTITION BY g) AS lo FROM (SELECT gno, gno - row_number() OVER (ORDER BY gno) AS g FROM done)
 )
 SELECT gno, CASE WHEN n_parts > 1 THEN part::INT END AS part_number, CASE WHEN n_parts > 1 THEN part = n_parts END AS part_last,
-       least(2, total - 2 * (part - 1))::BIGINT AS n_rows, CASE WHEN part = n_parts THEN '{UUID}:' || gno ELSE '' END AS position, CASE WHEN part = 1 THEN n_ddl ELSE 0 END AS n_ddl
-FROM y""",
+       least(2, total - 2 * (part - 1))::BIGINT AS n_rows, CASE WHEN part = 1 THEN n_ddl ELSE 0 END AS n_ddl,
+       CASE WHEN part = n_parts THEN n_intervals END AS after_n_intervals, CASE WHEN part = n_parts THEN lo END AS after_lo, CASE WHEN part = n_parts THEN gno END AS after_hi
+FROM y JOIN s USING (gno)""",
     "row_fanout": f"""WITH {BASE}, x AS (
   SELECT k, 0 AS pos, 'org.logweave.log.ddl' AS type, 'shop' AS subject,
          CASE shape WHEN 7 THEN '{{"schema":"shop","query":"ALTER TABLE shop.orders ADD COLUMN c INT"}}' ELSE '{{"schema":"shop","query":"CREATE TABLE shop.copy (a INT) START TRANSACTION"}}' END AS data_json
@@ -180,11 +192,13 @@ SELECT k, (row_number() OVER (PARTITION BY k ORDER BY pos) - 1)::INT AS ordinal,
 )
 SELECT gno, sum(2 + length(op) + CASE WHEN op <> 'insert' THEN 6 + image + 4 ELSE 0 END + CASE WHEN op <> 'delete' THEN 5 + image + length(q) ELSE 0 END)::BIGINT AS n_bytes, count(*) AS n_events
 FROM x GROUP BY gno""",
-    "full_envelopes": f"""WITH {BASE}
-SELECT d.gno, any_value(n_ddl) AS n_ddl, count(c.k) AS n_events,
+    "full_envelopes": f"""WITH {BASE}, s AS (
+  SELECT gno, dense_rank() OVER (ORDER BY g)::BIGINT AS n_intervals, min(gno) OVER (PARTITION BY g) AS lo FROM (SELECT gno, gno - row_number() OVER (ORDER BY gno) AS g FROM done)
+)
+SELECT d.gno, any_value(n_intervals) AS n_intervals, any_value(lo) AS lo, d.gno AS hi, any_value(n_ddl) AS n_ddl, count(c.k) AS n_events,
        CASE any_value(d.shape) WHEN 7 THEN 'ALTER TABLE shop.orders ADD COLUMN c INT' WHEN 31 THEN 'CREATE TABLE shop.copy (a INT) START TRANSACTION' ELSE '' END AS queries,
        coalesce(string_agg(subject, ',' ORDER BY pos), '') AS subjects
-FROM done d LEFT JOIN c USING (k) GROUP BY d.gno""",
+FROM done d JOIN s ON s.gno = d.gno LEFT JOIN c USING (k) GROUP BY d.gno""",
     "doc_effects": f"""WITH {_docs()}
 SELECT pos, effect, CASE WHEN effect = 'row' THEN CASE op WHEN 'replace' THEN 'update' ELSE op END END AS row_op,
   CASE WHEN effect = 'filtered' THEN NULL WHEN op IN ('drop_database', 'invalidate') THEN 'app' ELSE 'app.' || coll END AS subject,
@@ -225,4 +239,44 @@ FROM v""",
     "lag_metrics": "SELECT event_type, count(*) AS n, min(1706745600000 - epoch_us(ts) // 1000) AS least_ms, max(1706745600000 - epoch_us(ts) // 1000) AS most_ms FROM events GROUP BY event_type",
     "health_samples": f"""WITH {BASE}, x AS (SELECT row_number() OVER (ORDER BY pos) AS n, gno, subject FROM c)
 SELECT n, gno, subject FROM x WHERE n = 1 OR n % 100 = 0""",
+    "typed_cells": r"""SELECT event_id, event_id::VARCHAR AS as_longlong, (1970 + event_id % 100)::VARCHAR AS as_year, (event_id % 2)::VARCHAR AS as_bit,
+  CASE WHEN event_id % 7 = 0 THEN 'null' ELSE '"' || event_type || '\"\\\n"' END AS as_string,
+  CASE WHEN event_id % 3 = 0 THEN '"hex:ff' || printf('%02x', event_id % 256) || '"' ELSE '"' || event_type || '"' END AS as_blob,
+  '"' || (event_id // 4) || ['.00', '.25', '.50', '.75'][event_id % 4 + 1] || '"' AS as_decimal,
+  '"' || strftime(DATE '2024-01-01' + (event_id % 500)::INT, '%Y-%m-%d') || '"' AS as_date, (event_id * 1000003)::VARCHAR AS as_timestamp FROM events""",
+    "txn_keys": "SELECT event_id, CASE WHEN event_id % 5 <> 0 AND event_id % 3 <> 0 THEN 's' || user_id || ':' || event_id END AS txn_key FROM events",
+    "control_events": f"""WITH {_docs("full", False)}, x AS (
+  SELECT *, md5('docs-1|' || pos) AS h, CASE op WHEN 'drop' THEN 'dropped' WHEN 'rename' THEN 'renamed' WHEN 'drop_database' THEN 'database_dropped' ELSE 'invalidated' END AS kind,
+         CASE WHEN op IN ('drop', 'rename') THEN coll ELSE '' END AS tbl
+  FROM eff WHERE effect = 'control'
+)
+SELECT pos, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS id, 'org.logweave.log.control.' || kind AS type, CASE tbl WHEN '' THEN 'app' ELSE 'app.' || tbl END AS subject,
+       '2024-02-01T00:00:00.000Z' AS time,
+       '{{"kind":"' || kind || '","subject":{{"database":"app","table":"' || tbl || '"}}' || CASE WHEN op = 'rename' THEN ',"renamed_to":{{"database":"' || CASE WHEN e % 2 = 0 THEN 'app2' ELSE 'app' END
+       || '","table":"' || CASE WHEN e % 3 = 0 THEN 'moved' ELSE '' END || '"}}' ELSE '' END || '}}' AS data_json
+FROM x""",
+    "doc_boundaries": f"""WITH {_docs()}, b AS (
+  SELECT pos * 2 AS pos, op, txn, token, effect FROM eff
+  UNION ALL SELECT pos * 2 + 1, 'boundary', NULL, CASE WHEN pos % 80 = 0 THEN token ELSE token || 'ff' END, 'filtered' FROM eff WHERE pos % 40 = 0
+), p AS (
+  SELECT *, lag(txn) OVER (ORDER BY pos) AS prev, lag(token) OVER (ORDER BY pos) AS before FROM b
+), r AS (
+  SELECT *, max(CASE WHEN txn IS NULL OR prev IS NULL OR prev <> txn THEN pos END) OVER (ORDER BY pos) AS run_start FROM p
+)
+SELECT run_start, max(pos) AS run_end, count(*) FILTER (WHERE effect = 'row') AS n_rows, count(*) FILTER (WHERE effect = 'control') AS n_controls, bool_or(effect = 'control') AS stop
+FROM r WHERE op <> 'boundary' OR before IS NULL OR before <> token GROUP BY run_start""",
+    "gtid_legacy": f"""WITH {BASE} SELECT '{UUID}' AS uuid, '{UUID}:1-' || greatest(max(gno), 25) AS text FROM done UNION ALL SELECT 'other', 'other:5-5'""",
+    "derived_positions": f"""WITH {BASE}, x AS (SELECT gno, gno - row_number() OVER (ORDER BY gno) AS g FROM done), y AS (SELECT gno, min(gno) OVER (PARTITION BY g) AS lo FROM x)
+SELECT gno, CASE WHEN gno % 5 = 0 THEN 'mongo' ELSE 'mysql' END AS adapter, CASE WHEN gno % 5 = 0 THEN '{{"a":1}}' ELSE '{{"gtid":"{UUID}:' || gno || '"}}' END AS at_json,
+       CASE WHEN gno % 5 = 0 THEN '{{}}' ELSE '{{"gtid":"{UUID}:' || lo || '-' || gno || '"}}' END AS after_json FROM y""",
+    "avro_events": f"""WITH {BASE}, x AS (
+  SELECT *, md5('shop-1|{UUID}:' || gno || '|' || pos || '|0') AS h FROM c
+), y AS (
+  SELECT pos, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS id, {KIND} AS type, subject, '{{"gtid":"{UUID}:' || gno || '"}}' AS ext, '{{"op":"' || op || '","signal":true}}' AS data FROM x
+)
+SELECT pos, {" || ".join(_avro(t) for t in ("'1.0'", "id", "type", "'shop-1'", "subject", "'2024-02-01T00:00:00.000Z'", "ext", "data"))} AS datum FROM y""",
+    "database_scope": "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'shopping' WHEN 1 THEN 'shop' ELSE 'other' END || '.items' AS subject, o_orderkey % 3 = 1 AS inside, count(*) AS n FROM orders GROUP BY ALL",
+    "pushed_changes": f"""WITH {_docs()}
+SELECT op, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM raw
+WHERE coll IN ('c0', 'c1', 'c2') OR op IN ('drop_database', 'invalidate') OR token = (SELECT token FROM raw WHERE pos = 291) GROUP BY op""",
 }
