@@ -370,7 +370,7 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
 
     found = words.map_arrow(texts, run, "id long, size long, fps array<long>")
     prints = durable(found.withColumn("same", F.xxhash64("size", "fps")))
-    nodes = prints.groupBy("same").agg(F.min("id").alias("node"))
+    nodes = durable(prints.groupBy("same").agg(F.min("id").alias("node")))
     distinct = durable(prints.join(nodes, (F.col("id") == F.col("node")) & (prints["same"] == nodes["same"])).select("node", "size", "fps").dropDuplicates(["node"]))
     held, both = block_statistics(distinct, blocks)
     groups = [[bits[:size] for bits in grouped_bits(held, both[block], parts)] for block in range(blocks)]
