@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def deleted_at_the_end(spark: SparkSession, path: str) -> str:
+    """path, a folder that goes when the driver ends."""
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(made)
+    return path
+
+
+def written_table(df: DataFrame) -> DataFrame:
+    """df as durable gives it, but as a Parquet table: for many rows, as checkpoints aren't compressed."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{os.urandom(8).hex()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(deleted_at_the_end(spark, path))
+
+
 def fresh_names(df: DataFrame, *names: str) -> list[str]:
     """Names for columns of one's own, made of the given ones, that df doesn't have in any case of letters."""
     held = {c.lower() for c in df.columns}
