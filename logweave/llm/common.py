@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,22 @@ def literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     fields = [part.split()[0] for part in schema.split(",")]
     text = json.dumps([dict(zip(fields, row, strict=True)) for row in rows])
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{','.join(':'.join(p.split()) for p in schema.split(','))}>>")))
+
+
+def own_columns(operator):
+    """An operator on docs whose columns that begin with an underscore don't meet its own ones, which all do.
+
+    Such columns, and arguments that name them, have other names while it runs, and come out under their own.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **how) -> DataFrame:
+        theirs = [c for c in docs.columns if c.startswith("_")]
+        if not theirs:
+            return operator(docs, *args, **how)
+        meanwhile = dict(zip(theirs, fresh_names(docs, *[f"theirs{k}" for k in range(len(theirs))]), strict=True))
+        named = lambda x: meanwhile.get(x, x) if isinstance(x, str) else tuple(map(named, x)) if isinstance(x, tuple) else x
+        done = operator(docs.withColumnsRenamed(meanwhile), *map(named, args), **{k: named(v) for k, v in how.items()})
+        return done.withColumnsRenamed({new: old for old, new in meanwhile.items()})
+
+    return run

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import words
-from logweave.llm.common import durable, read
+from logweave.llm.common import durable, own_columns, read
 
 #: A word, in a text as words.ALNUM leaves it.
 WORD = re.compile(rb"[^\t\n\x0b\x0c\r ]+")
@@ -185,6 +185,7 @@ def without(text: str, hit: np.ndarray) -> tuple[str, list[dict[str, int]]]:
     return b"".join([*kept, data[at:]]).decode(), [{"start": a, "end": b} for a, b in spans]
 
 
+@own_columns
 def decontaminate(
     docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5, item_id: str = "item_id", item_text: str = "text", text_col: str = "text", block_words: int = BLOCK_WORDS
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import SPACE, ascii_lower, durable, id_or_last, read, text_or_empty
+from logweave.llm.common import SPACE, ascii_lower, durable, id_or_last, own_columns, read, text_or_empty
 
 
 def line_key(line: Column) -> Column:
@@ -13,6 +13,7 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACE)))
 
 
+@own_columns
 def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated lines taken out of the text, and n_lines and n_dropped (long).
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweave.llm import words
-from logweave.llm.common import durable, read
+from logweave.llm.common import durable, own_columns, read
 from logweave.llm.tokens import WordSplitter
 
 #: Words whose ids a worker keeps. This bounds memory and changes no id.
@@ -390,6 +390,7 @@ def places(groups: list[Group]) -> dict[int, tuple[np.ndarray, ...]]:
     return {length: tuple(np.array(column, np.int64) for column in zip(*rows, strict=True)) for length, rows in begins.items()}
 
 
+@own_columns
 def pack(cut: DataFrame, room: int = 4096, rows_a_cell: int = 50_000, **islands) -> DataFrame:
     """The rows of cut (id, piece, start, length, crc, more) with sequence_id and offset: few sequences of at most room tokens.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import SPACE, let, read, text_or_empty
+from logweave.llm.common import SPACE, let, own_columns, read, text_or_empty
 
 #: Characters that are symbols in prose.
 SYMBOLS = "#*$%&|<>"
@@ -37,6 +37,7 @@ def chars_of(text: Column, some: str) -> Column:
     return F.regexp_count(text, F.lit(f"[{some}]"))
 
 
+@own_columns
 def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and base_failed.
 
@@ -108,6 +109,7 @@ def judged_lines(text: Column, max_symbol_share: float = 0.1, min_links: int = 3
     return F.transform(F.split(text, "\n"), judge)
 
 
+@own_columns
 def clean_lines(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text") -> DataFrame:
     """docs with the columns of base_columns, cleaned (the text without failing lines), lost_chars, all_chars and kept.
 
@@ -127,6 +129,7 @@ def clean_lines(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text")
     )
 
 
+@own_columns
 def kept_documents(docs: DataFrame, max_lost: float = 0.3, text_col: str = "text") -> DataFrame:
     """clean_lines' rows that are kept.
 

@@ -8,7 +8,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.common import literal_rows, read, text_or_empty
+from logweave.llm.common import literal_rows, own_columns, read, text_or_empty
 
 #: Places on the ring: 60 bits of an MD5.
 RING_BITS = 60
@@ -48,6 +48,7 @@ def allot(ring_nodes: list[tuple[int, int]], arc_counts: dict[int, int], shards:
     return out
 
 
+@own_columns
 def shard_rows(docs: DataFrame, shards: int = 16, virtual_nodes: int = 64, id_col: str = "doc_id", tie_cols: tuple[str, ...] = ("text",), cell_rows: int = 20_000) -> DataFrame:
     """docs with shard and slot: row counts of any two shards differ by one at most, slots run from 0 without gaps.
 
