@@ -56,3 +56,11 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
     cut = _handed_on(cut, keys, F.sum("_value"), F.sum, lambda own, earlier: F.coalesce(own, F.lit(0)) + F.coalesce(earlier, F.lit(0)))
     own = F.sum("_value").over(Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return cut.withColumn(name, own + F.coalesce("_before", F.lit(0))).drop("_bucket", "_value", "_before")
+
+
+def highest_before(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, width: int = WIDTH) -> DataFrame:
+    """df with `name`: the largest value of the rows before it within keys; null at the first row."""
+    cut = _bucketed(df, order[0], width).withColumn("_value", value)
+    cut = _handed_on(cut, keys, F.max("_value"), F.max, F.greatest)
+    own = F.max("_value").over(Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return cut.withColumn(name, F.greatest(own, F.col("_before"))).drop("_bucket", "_value", "_before")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.operators.ordered import WIDTH, carry_last, previous, running_sum
+from logweave.operators.ordered import WIDTH, carry_last, highest_before, previous, running_sum
 
 Intervals = dict[str, list[tuple[int, int]]]
 
@@ -89,12 +89,12 @@ def running_sets(ids: DataFrame, keys: list[str], order: str, number: str = "gno
     return running_sum(seen, keys, [order], F.col("_new").cast("long"), "n_intervals", width).withColumn("hi", F.col(number)).drop("_prev", "_new")
 
 
-def union_rows(spans: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, lo, hi) merged where they overlap or touch. A window over a uuid's intervals, not its transactions."""
-    earlier = Window.partitionBy(*keys).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = spans.withColumn("_reach", F.max("hi").over(earlier)).withColumn("_new", (F.col("_reach").isNull() | (F.col("lo") > F.col("_reach") + 1)).cast("int"))
-    numbered = fresh.withColumn("_island", F.sum("_new").over(Window.partitionBy(*keys).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_island")
+def union_rows(spans: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """(keys, lo, hi) merged where they overlap or touch, scanned in buckets of `lo`. Of spans with one lo the longest counts."""
+    longest = spans.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))
+    seen = highest_before(longest, keys, ["lo"], F.col("hi"), "_reach", width)
+    starts = F.when(F.col("_reach").isNull() | (F.col("lo") > F.col("_reach") + 1), F.col("lo"))
+    return carry_last(seen, keys, ["lo"], starts, "_start", width).groupBy(*keys, F.col("_start").alias("lo")).agg(F.max("hi").alias("hi"))
 
 
 def set_text(spans: DataFrame, uuid: str = "uuid") -> DataFrame:

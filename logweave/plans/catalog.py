@@ -111,9 +111,9 @@ def gtid_set_after(spark, sf_dir):
 
 
 def _spans(spark, sf_dir):
+    """An interval of every order: those of a uuid begin 12 numbers apart and hold up to 23, so that some overlap, touch or leave gaps."""
     k = F.col("o_orderkey")
-    orders = derived.table(spark, sf_dir, "orders")
-    return orders.where(k % 50 == 3).select((k % 3).alias("uuid"), (k + 1).alias("lo"), (k + 1 + k % 170).alias("hi")).unionByName(orders.where(k % 50 == 19).select((k % 3).alias("uuid"), (k + 1).alias("lo"), (k + 1).alias("hi")))
+    return derived.table(spark, sf_dir, "orders").select((k % 3).alias("uuid"), (4 * k + 1).alias("lo"), (4 * k + 1 + k % 23).alias("hi"))
 
 
 def gtid_union(spark, sf_dir):

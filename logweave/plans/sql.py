@@ -137,7 +137,7 @@ SELECT '{UUID}' AS uuid, min(gno) AS lo, max(gno) AS hi FROM x GROUP BY g""",
     "gtid_set_after": f"""WITH {BASE}, x AS (SELECT gno, gno - row_number() OVER (ORDER BY gno) AS g FROM done)
 SELECT gno, dense_rank() OVER (ORDER BY g)::BIGINT AS n_intervals, min(gno) OVER (PARTITION BY g) AS lo, gno AS hi FROM x""",
     "gtid_union": """WITH x AS (
-  SELECT 'u' || (o_orderkey % 3) AS uuid, o_orderkey + 1 AS lo, o_orderkey + 1 + CASE WHEN o_orderkey % 50 = 3 THEN o_orderkey % 170 ELSE 0 END AS hi FROM orders WHERE o_orderkey % 50 IN (3, 19)
+  SELECT 'u' || (o_orderkey % 3) AS uuid, 4 * o_orderkey + 1 AS lo, 4 * o_orderkey + 1 + o_orderkey % 23 AS hi FROM orders
 ), y AS (
   SELECT DISTINCT uuid, unnest(range(lo, hi + 1)) AS g FROM x
 ), z AS (

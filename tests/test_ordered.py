@@ -20,6 +20,7 @@ def test_scans_equal_plain_windows(spark):
         (ordered.carry_last(df, ["k"], ["pos"], F.col("v"), "x", 2), F.last("v", ignorenulls=True).over(so_far)),
         (ordered.previous(df, ["k"], ["pos"], F.col("v"), "x", 2), F.lag(F.struct(F.col("v").alias("v"))).over(over)),
         (ordered.running_sum(df, ["k"], ["pos"], F.coalesce("v", F.lit(0)), "x", 2), F.sum(F.coalesce("v", F.lit(0))).over(so_far)),
+        (ordered.highest_before(df, ["k"], ["pos"], F.col("v"), "x", 2), F.max("v").over(over.rowsBetween(Window.unboundedPreceding, -1))),
     ):
         got, want = (sorted(map(str, d.select("k", "pos", "x").collect())) for d in (made, df.withColumn("x", plain)))
         assert got == want

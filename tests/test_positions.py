@@ -49,3 +49,12 @@ def test_union_rows(spark):
     got = p.union_rows(spark.createDataFrame(spans, "uuid string, lo long, hi long"), ["uuid"])
     assert sorted((r["uuid"], r["lo"], r["hi"]) for r in got.collect()) == [("u", 1, 9), ("u", 11, 12), ("v", 1, 1)]
     assert {r["uuid"]: r["text"] for r in p.set_text(got).collect()} == {"u": "u:1-9:11-12", "v": "v:1-1"}
+
+
+def test_union_rows_over_several_buckets(spark):
+    wild = random.Random(6)
+    spans = [(u, lo, lo + wild.choice([0, 1, 2, 30])) for u in ("u", "v") for lo in wild.choices(range(2000), k=300)] + [("w", 1, 5000), ("w", 4000, 4001), ("w", 5001, 5001), ("w", 5003, 5003)]
+    df = spark.createDataFrame(spans + spans[:50], "uuid string, lo long, hi long")
+    want = sorted((u, *span) for u in ("u", "v", "w") for span in p.merge([(lo, hi) for v, lo, hi in spans if v == u]))
+    for width in (3, 100, 1 << 16):
+        assert sorted((r["uuid"], r["lo"], r["hi"]) for r in p.union_rows(df, ["uuid"], width).collect()) == want
