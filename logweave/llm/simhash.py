@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweave.llm import words
-from logweave.llm.common import durable, fresh_names, id_or_last, read
+from logweave.llm.common import durable, fresh_names, id_or_last, read, written_table
 from logweave.llm.components import components
 
 BITS = 64
@@ -248,24 +248,31 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANES = np.array([sum((byte >> bit & 1) << 8 * bit for bit in range(8)) for byte in range(256)], np.uint64)
 
 
-def wide_prints_of(texts: pa.Array, width: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles, blocks of 64 bits) of each text: SimHash over its set of shingles, each block with hashes of its own.
-
-    Bits are counted in eight lanes of a long, over runs of 255 shingles at most, so that no lane runs over.
-    """
+def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code, owner) of the different shingles of each text, by owner and code; a text of fewer words than a shingle is one."""
     codes, edges = words.shingle_codes(texts, width, short=True)
     owner = np.repeat(np.arange(len(texts)), np.diff(edges))
     order = np.lexsort((codes, owner))
     codes, owner = codes[order], owner[order]
     new = np.ones(len(codes), bool)
     new[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
-    codes, owner = codes[new], owner[new]
+    return codes[new], owner[new]
+
+
+def wide_prints_of(texts: pa.Array, width: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct shingles, their sum, blocks of 64 bits) of each text: SimHash over its set of shingles, each block with hashes of its own.
+
+    Bits are counted in eight lanes of a long, over runs of 255 shingles at most, so that no lane runs over.
+    """
+    codes, owner = shingle_sets(texts, width)
     sizes = np.bincount(owner, minlength=len(texts))
     out = np.zeros((len(texts), blocks), np.uint64)
+    sums = np.zeros(len(texts), np.uint64)
     some = np.flatnonzero(sizes)
     if not len(some):
-        return sizes, out
+        return sizes, sums, out
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    sums[some] = np.add.reduceat(codes, first[some])
     runs = -(-sizes[some] // 255)
     of_text = np.concatenate([[0], np.cumsum(runs)[:-1]])
     cuts = np.repeat(first[some], runs) + 255 * (np.arange(runs.sum()) - np.repeat(of_text, runs))
@@ -279,7 +286,7 @@ def wide_prints_of(texts: pa.Array, width: int, blocks: int) -> tuple[np.ndarray
             ones = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), of_text, axis=0)
             bits = np.packbits(ones * 2 > half, axis=1, bitorder="little").ravel().astype(np.uint64)
             out[some, block] |= bits << np.uint64(8 * byte)
-    return sizes, out
+    return sizes, sums, out
 
 
 def partition_plan(n: int, similarity: float, recall: float) -> tuple[int, int, int]:
@@ -354,7 +361,9 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     exactly for every candidate. Candidates come from SimHash blocks of 64 bits (see partition_plan for how many, and
     the chance `recall` with which a pair at just that similarity becomes one): each block's correlated bits are
     grouped into parts, which get thresholds; who holds a probed value is compared with the smallest id that holds it,
-    if the next block's bits agree by and large. Equal texts, and texts without words, are one node from the start.
+    if the next block's bits agree by and large. What chance and these bounds leave out is found by prefixes (see
+    prefix_pairs), which miss nothing, among documents that aren't linked by then. So the result doesn't depend on
+    `recall`. Equal sets of shingles, and texts without words, are one node from the start.
     A text of fewer words than a shingle is one shingle. Ids that repeat are one document, whose words are those of its
     smallest text; null ids sort last; an empty table gives no rows.
     """
@@ -364,12 +373,12 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
 
     def run(batches):
         for batch in words.slices(batches):
-            sizes, fps = wide_prints_of(batch.column("text"), width, blocks)
+            sizes, sums, fps = wide_prints_of(batch.column("text"), width, blocks)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, fps.size + 1, blocks), pa.int32()), pa.array(fps.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes.astype(np.int64)), lists], ["id", "size", "fps"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sums.view(np.int64)), lists], ["id", "size", "sum", "fps"])
 
-    found = words.map_arrow(texts, run, "id long, size long, fps array<long>")
-    prints = durable(found.withColumn("same", F.xxhash64("size", "fps")))
+    found = words.map_arrow(texts, run, "id long, size long, sum long, fps array<long>")
+    prints = durable(found.withColumn("same", F.xxhash64("size", "sum", "fps")).drop("sum"))
     nodes = durable(prints.groupBy("same").agg(F.min("id").alias("node")))
     distinct = durable(prints.join(nodes, (F.col("id") == F.col("node")) & (prints["same"] == nodes["same"])).select("node", "size", "fps").dropDuplicates(["node"]))
     held, both = block_statistics(distinct, blocks)
@@ -396,7 +405,17 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     far = int(BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi + 4 * np.sqrt(BITS) * 0.36) + 1
     near = rows.join(heads, "key").where((F.col("node") != F.col("head.node")) & (F.bit_count(F.col("beside").bitwiseXOR(F.col("head.beside"))) <= far))
     pairs = durable(near.select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct())
-    own = texts.groupBy("id").agg(F.min("text").alias("text")) if n else texts
+    linked = durable(_alike(pairs, texts, width, similarity))
+    of = durable(prints.select("id", "same").join(nodes, "same").select("id", "node"))
+    rest = durable(_alike(prefix_pairs(texts, of, components(linked), n, width, similarity), texts, width, similarity))
+    member = components(linked.unionByName(rest)).withColumnRenamed("node", "_node")
+    named = of.join(member, F.col("node") == F.col("_node"), "left")
+    return named.groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of pairs (a, b) whose texts (id, text), the smallest of an id, have sets of shingles with at least that Jaccard similarity."""
+    own = texts.groupBy("id").agg(F.min("text").alias("text"))
     one = own.join(pairs.select("a").union(pairs.select("b")).distinct(), F.col("id") == F.col("a"), "left_semi")
     told = pairs.join(one.select(F.col("id").alias("a"), F.col("text").alias("text")), "a").join(one.select(F.col("id").alias("b"), F.col("text").alias("other")), "b")
 
@@ -408,12 +427,66 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
                 x, y = np.unique(codes[edges[k] : edges[k + 1]]), np.unique(others[ends[k] : ends[k + 1]])
                 common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    linked = durable(words.map_arrow(told.select("a", "b", "text", "other"), verify, "a long, b long"))
-    member = components(linked).withColumnRenamed("node", "_node")
-    named = prints.select("id", "same").join(nodes, "same").join(member, F.col("node") == F.col("_node"), "left")
-    return named.groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component"))
+    return words.map_arrow(told.select("a", "b", "text", "other"), verify, "a long, b long")
+
+
+def usual_shingles(texts: DataFrame, n: int, width: int, look: int = 20_000, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(codes in order, counts) of shingles that three or more of about `look` texts have, `most` at most: to be last in prefixes.
+
+    Any order of all shingles is right; one in which usual ones come last makes few candidates.
+    """
+
+    def run(batches):
+        for batch in words.slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column("text"), width)[0].view(np.int64))], ["code"])
+
+    some = texts.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // look))) == 0)
+    held = words.map_arrow(some.select("text"), run, "code long").groupBy("code").agg(F.count("*").alias("n")).where("n > 2")
+    rows = held.orderBy(F.desc("n"), "code").limit(most).collect()
+    codes, counts = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(codes)
+    return codes[order], counts[order]
+
+
+def prefix_pairs(texts: DataFrame, of: DataFrame, member: DataFrame, n: int, width: int, similarity: float) -> DataFrame:
+    """(a, b), a the smaller: all nodes that may be as alike and aren't of one component, n being about the number of texts (id, text).
+
+    of (id, node) names an id's nodes, member (node, component) the components so far. Two sets with a Jaccard
+    similarity of at least `similarity` have in common at least that share of the larger one. So in any one order of
+    all shingles, the first 1 - similarity of each, and one more, have a shingle in common, and at the first such one
+    enough are left of both. Shingles of one document alone, and of one component alone, go before any pair is made.
+    """
+    usual, counts = usual_shingles(texts, n, width)
+
+    def run(batches):
+        for batch in words.slices(batches):
+            codes, owner = shingle_sets(batch.column("text"), width)
+            at = np.minimum(np.searchsorted(usual, codes), max(len(usual) - 1, 0))
+            rank = np.where(usual[at] == codes, counts[at], 0) if len(usual) else np.zeros(len(codes), np.int64)
+            order = np.lexsort((codes, rank, owner))
+            codes, owner = codes[order], owner[order]
+            sizes = np.bincount(owner, minlength=batch.num_rows)
+            place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            taken = np.flatnonzero(place < (sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1)[owner])
+            ids = batch.column("id").to_numpy()
+            columns = codes[taken].view(np.int64), ids[owner[taken]], sizes[owner[taken]].astype(np.int32), place[taken].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["code", "id", "size", "place"])
+
+    rows = written_table(words.map_arrow(texts, run, "code long, id long, size int, place int"))
+    shared = rows.groupBy("code").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("code")
+    live = rows.join(shared, "code", "left_semi").join(of, "id")
+    named = live.join(member.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    held = written_table(named.select("code", "node", "size", "place", F.coalesce("component", "node").alias("component")).distinct())
+    split = held.groupBy("code").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("code")
+    one = written_table(held.join(split, "code", "left_semi"))
+    other = one.select(*[F.col(c).alias(f"_{c}") for c in one.columns])
+    both = F.col("size") + F.col("_size")
+    enough = F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place")) >= F.lit(similarity / (1 + similarity)) * both - 1e-6
+    alike = (F.least("size", "_size") >= F.lit(similarity) * F.greatest("size", "_size") - 1e-6) & enough
+    pairs = one.join(other, (F.col("code") == F.col("_code")) & (F.col("node") < F.col("_node")) & (F.col("component") != F.col("_component")) & alike)
+    return durable(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct())
 
 
 def keep_similar_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

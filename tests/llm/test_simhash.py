@@ -168,3 +168,33 @@ def test_a_large_group_of_near_copies_is_one(spark):
         rows.append((k, " ".join(near)))
     got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum(r["component"] == 0 for r in got) >= 0.99 * len(rows)
+
+
+def test_no_similar_pair_is_left_out(spark):
+    wild = random.Random(23)
+    fresh = lambda n: [f"u{wild.randrange(10**6)}" for _ in range(n)]
+    told = []
+    for k in range(60):
+        body, share = fresh(104), 11
+        # 100 shingles, of which the ends of two keep 89 each: at 89 / 111 they are just alike; every other one is alike to neither end
+        told += [body, body[: 104 - share] + fresh(share), fresh(4) + body[4 + k % 7 :], fresh(50) + body[50:]]
+    told += [[*x, "more"] for x in told[::9]] + [["a", "b"], ["a", "b"], ["c"], [], []]
+    rows = {k: " ".join(t) for k, t in enumerate(told)}
+    want = plain_similar(rows, 0.8)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    for recall in (0.97, 0.01):  # what SimHash leaves out the prefixes find
+        assert {r["id"]: r["component"] for r in simhash.similar_documents(docs, recall=recall).collect()} == want
+
+
+def test_prefixes_miss_nothing_and_leave_out_what_is_linked(spark):
+    wild = random.Random(24)
+    bodies = [[f"u{wild.randrange(30)}" for _ in range(wild.randrange(0, 60))] for _ in range(40)]
+    told = bodies + [[w if wild.random() > 0.02 else "x" for w in b] for b in bodies for _ in range(3)]
+    rows = {k: " ".join(t) for k, t in enumerate(told)}
+    shingles = {k: {tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} if t else set() for k, t in enumerate(told)}
+    want = {(a, b) for a in rows for b in rows if a < b and shingles[a] and shingles[b] and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]) - 1e-9}
+    texts = spark.createDataFrame(list(rows.items()), "id long, text string")
+    own = texts.selectExpr("id", "id AS node")
+    found = lambda member: {tuple(r) for r in simhash.prefix_pairs(texts, own, spark.createDataFrame(member, "node long, component long"), len(rows), 5, 0.8).collect()}
+    assert len(want) > 60 and want <= found([])
+    assert found([(k, 0) for k in rows]) == set()
